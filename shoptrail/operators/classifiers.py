@@ -96,7 +96,7 @@ def score(model: PipelineModel, rows: DataFrame, keep: Sequence[str] = ("user_id
 def training_history(model: PipelineModel, rows: DataFrame, label: str = "label") -> DataFrame:
     """(round, loss) of a boosted model on given rows."""
     assembler, booster = model.stages
-    vectors = assembler.transform(rows).select("features", F.col(label).cast("double").alias(booster.getLabelCol()))
-    losses = booster.evaluateEachIteration(vectors, "logistic")
+    vectors = assembler.transform(rows).select("features", F.col(label).cast("double").alias(label), F.lit(1.0).alias(_WEIGHT))
+    losses = booster.evaluateEachIteration(vectors)
     data = [(i + 1, float(v)) for i, v in enumerate(losses)]
     return rows.sparkSession.createDataFrame(data, "round int, loss double")

@@ -51,18 +51,22 @@ def target_population(units: DataFrame, top_ratio: float = K.TARGET_TOP_RATIO, s
     return targets.withColumn("threshold", limit)
 
 
-def with_score_bins(units: DataFrame, bins: int, name: str, score: str = "score") -> tuple[DataFrame, DataFrame]:
-    """Adds the equal-frequency bin of the score; also returns the one-row table of edges."""
-    edges = exact_quantiles(units, score, {f"e{i}": i / bins for i in range(bins + 1)})
-    known = edges.select(F.struct(*edges.columns).alias("edges")).scalar()
-    binned = units.withColumn("_edges", known)  # read once, then plain struct fields
-    return binned.withColumn(name, right_closed_bin(F.col(score), [F.col(f"_edges.{c}") for c in edges.columns])).drop("_edges"), edges
+def score_edges(units: DataFrame, bins: int, score: str = "score") -> list[float]:
+    """The ``bins + 1`` quantile edges of the score: a handful of numbers on the driver."""
+    row = exact_quantiles(units, score, {f"e{i}": i / bins for i in range(bins + 1)}).first()
+    return [] if row is None else [row[f"e{i}"] for i in range(bins + 1)]
+
+
+def with_score_bins(units: DataFrame, bins: int, name: str, score: str = "score") -> DataFrame:
+    """Adds the equal-frequency bin of the score."""
+    edges = [F.lit(e) for e in score_edges(units, bins, score)]
+    return units.withColumn(name, right_closed_bin(F.col(score), edges))
 
 
 def stratified_assignment(targets: DataFrame, test_ratio: float = K.TEST_RATIO, score: str = "score", seed: int = K.SEED) -> DataFrame:
     """Adds ``score_stratum`` and ``ab_group``: the first half of each stratum in hash order is treated."""
     distinct = targets.select(score).distinct().limit(10).count()
-    strata, _ = with_score_bins(targets, min(10, max(2, distinct)), "score_stratum", score)
+    strata = with_score_bins(targets, min(10, max(2, distinct)), "score_stratum", score)
     n = F.col("n")
     wanted = F.least(F.greatest(F.bround(n * test_ratio), F.lit(1)), F.greatest(n - 1, F.lit(1)))
     quotas = strata.groupBy("score_stratum").agg(F.count("*").alias("n")).select(
@@ -173,11 +177,13 @@ def effect_summary(metrics: DataFrame, sizes: DataFrame) -> DataFrame:
 
 def score_segment_analysis(units: DataFrame, score: str = "score") -> DataFrame:
     """Score and conversion per quintile and group; one segment for all if quintiles collapse."""
-    binned, edges = with_score_bins(units, len(K.SCORE_SEGMENTS), "_bin", score)
-    distinct = edges.select(F.size(F.array_distinct(F.array(*edges.columns)))).scalar()
-    labels = F.array(*[F.lit(s) for s in K.SCORE_SEGMENTS])
-    segment = F.when(distinct == len(K.SCORE_SEGMENTS) + 1, F.get(labels, F.col("_bin").cast("int")))
-    named = binned.withColumn("score_segment", F.coalesce(segment, F.lit(K.SEGMENT_EVERYONE)))
+    edges = score_edges(units, len(K.SCORE_SEGMENTS), score)
+    if len(set(edges)) == len(K.SCORE_SEGMENTS) + 1:
+        labels = F.array(*[F.lit(s) for s in K.SCORE_SEGMENTS])
+        segment = F.get(labels, right_closed_bin(F.col(score), [F.lit(e) for e in edges]).cast("int"))
+    else:
+        segment = F.lit(K.SEGMENT_EVERYONE)
+    named = units.withColumn("score_segment", segment)
     return named.groupBy("score_segment", F.col("ab_group").alias("group")).agg(
         F.count("*").alias("sample_size"), F.avg(score).alias("average_model_score"), F.avg("label").alias("conversion_rate"))
 

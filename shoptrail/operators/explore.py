@@ -59,18 +59,12 @@ def _stage(label: str, column: str, rate: Column) -> Column:
 
 def drop_rate(events: DataFrame) -> DataFrame:
     """(step, drop_rate, is_largest) of the three funnel steps; the first largest step is marked."""
-    def step(order, label, after, before):
-        lost = 1 - safe_ratio(F.col(after), F.col(before))
-        return F.struct(F.lit(order).alias("position"), F.lit(label).alias("step"), lost.alias("drop_rate"))
-
-    steps = _funnel_counts(events).select(F.array(
-        step(1, "View -> Favorite", "favorite", "view"),
-        step(2, "Favorite -> Cart", "cart", "favorite"),
-        step(3, "Cart -> Buy", "buy", "cart"),
-    ).alias("steps"))
-    worst = F.array_max(F.transform("steps", lambda s: F.struct(s["drop_rate"].alias("d"), (-s["position"]).alias("p"))))["p"]
-    return steps.select(F.inline("steps"), (-worst).alias("_worst")).select(
-        "step", "drop_rate", (F.col("position") == F.col("_worst")).alias("is_largest"))
+    steps = (("View -> Favorite", "favorite", "view"), ("Favorite -> Cart", "cart", "favorite"), ("Cart -> Buy", "buy", "cart"))
+    lost = [1 - safe_ratio(F.col(after), F.col(before)) for _, after, before in steps]
+    worst = F.array_max(F.array(*[F.struct(x.alias("lost"), F.lit(-i).alias("place")) for i, x in enumerate(lost)]))
+    return _funnel_counts(events).select(F.inline(F.array(*[
+        F.struct(F.lit(title).alias("step"), x.alias("drop_rate"), (worst["place"] == -i).alias("is_largest"))
+        for i, ((title, _, _), x) in enumerate(zip(steps, lost))])))
 
 
 def rfm_buyers(events: DataFrame) -> DataFrame:

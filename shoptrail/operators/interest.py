@@ -7,11 +7,12 @@ inner products), which gives an interest summary per (user, item) pair for boost
 from __future__ import annotations
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.columns import weight_of
+from ..session import materialize
 from .classifiers import score, train_gbt_depthwise
 from .joins import hot_key_join
 
@@ -21,60 +22,55 @@ INTEREST_FEATURES = (
 )
 
 
-def _dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda total, x: total + x)
-
-
-def _total(values: Column) -> Column:
-    return F.aggregate(values, F.lit(0.0), lambda total, x: total + x)
+SAMPLE_KEYS = ("user_id", "item_id", "item_category", "label", "cutoff_time", "split")
 
 
 def item_vectors(item_factors: DataFrame) -> DataFrame:
     """Factor columns as one array of unit length per item."""
     names = [c for c in item_factors.columns if c != "item_id"]
-    raw = item_factors.select("item_id", F.array(*names).alias("vector"))
-    norm = F.sqrt(_dot(F.col("vector"), F.col("vector")))
-    return raw.select("item_id", F.transform("vector", lambda x: F.coalesce(F.try_divide(x, norm), F.lit(0.0))).alias("vector"))
+    norm = F.sqrt(sum((F.col(c) * F.col(c) for c in names[1:]), F.col(names[0]) * F.col(names[0])))
+    units = item_factors.withColumn("_norm", norm)
+    return units.select("item_id", F.array(*[F.coalesce(F.try_divide(F.col(c), F.col("_norm")), F.lit(0.0)) for c in names]).alias("vector"))
 
 
 def interest_features(samples: DataFrame, item_factors: DataFrame) -> DataFrame:
-    """Adds the interest features to samples that carry item, category and behaviour arrays.
+    """Interest features of samples that carry item, category and behaviour arrays.
 
     Vectors are looked up once per (user, split) history of at most 50 events, not once per
-    sample; both lookups split heavy items and users.
+    sample; both lookups split heavy items and users. Each sample is then compared with its
+    history row by row, and its rows are summed again in the task that made them. The vectors
+    have unit length, so the softmax needs no shift.
     """
     vectors = item_vectors(item_factors)
-    owned = samples.withColumn("_who", F.concat_ws("|", F.col("user_id").cast("string"), "split"))
-    history = owned.groupBy("_who").agg(F.first("item_seq").alias("items"))
-    events = history.select("_who", F.posexplode("items").alias("_at", "item_id"))
+    width = len(item_factors.columns) - 1
+    owned = materialize(samples).withColumn("_who", F.concat_ws("|", F.col("user_id").cast("string"), "split"))
+    history = owned.groupBy("_who").agg(F.first(F.arrays_zip("item_seq", "cate_seq", "behavior_seq")).alias("_events"))
+    events = history.select("_who", F.posexplode("_events").alias("_at", "_e")).select(
+        "_who", "_at", F.col("_e.item_seq").alias("item_id"), F.col("_e.cate_seq").alias("_c"), F.col("_e.behavior_seq").alias("_b"))
     found = hot_key_join(events, vectors, "item_id")
-    remembered = found.groupBy("_who").agg(
-        F.sort_array(F.collect_list(F.struct("_at", F.coalesce("vector", F.array().cast("array<double>")).alias("v")))).alias("_memory"))
-    target = hot_key_join(owned, vectors, "item_id").withColumnRenamed("vector", "_target")
-    joined = hot_key_join(target, remembered.select("_who", F.col("_memory.v").alias("_vectors")), "_who")
-
-    none = F.array().cast("array<double>")
-    goal = F.coalesce("_target", none)
-    # zip_with pads the shorter side with NULL: an item without a vector matches with 0
-    match = F.transform("_vectors", lambda v: F.coalesce(_dot(v, goal), F.lit(0.0)))
-    scored = joined.withColumn("_match", match)
-    expo = scored.withColumn("_exp", F.transform("_match", lambda m: F.exp(m - F.array_max("_match"))))
-    weights = F.transform("behavior_seq", lambda b: F.coalesce(weight_of(b, K.VALUE_WEIGHTS).cast("double"), F.lit(0.0)))
-    same_category = F.transform("cate_seq", lambda c: (c == F.col("item_category")).cast("double"))
-    same_item = F.transform("item_seq", lambda i: (i == F.col("item_id")).cast("double"))
-    norm = _total(F.col("_exp"))
-    return expo.withColumns({"_w": weights, "_c": same_category, "_i": same_item}).withColumns({
-        "history_length": F.size("item_seq").cast("double"),
-        "attended_weight": F.try_divide(_dot(F.col("_exp"), F.col("_w")), norm),
-        "attended_same_category": F.try_divide(_dot(F.col("_exp"), F.col("_c")), norm),
-        "best_match": F.array_max("_match"),
-        "mean_match": F.try_divide(_total(F.col("_match")), F.size("_match")),
-        "same_item_events": _total(F.col("_i")),
-        "same_category_events": _total(F.col("_c")),
-        "same_item_weight": _dot(F.col("_i"), F.col("_w")),
-        "history_buys": _total(F.transform("behavior_seq", lambda b: (b == K.BUY).cast("double"))),
-        "last_weight": F.element_at("_w", -1),
-    }).select(*samples.columns, *INTEREST_FEATURES).na.fill(0.0, list(INTEREST_FEATURES))
+    memory = found.groupBy("_who").agg(F.collect_list(F.struct(
+        "_at", F.col("item_id").alias("i"), F.col("_c").alias("c"), F.col("_b").alias("b"), F.col("vector").alias("v"))).alias("_memory"))
+    target = hot_key_join(owned.select(*SAMPLE_KEYS, "_who"), vectors, "item_id").withColumnRenamed("vector", "_target")
+    rows = hot_key_join(target, memory, "_who").select(*SAMPLE_KEYS, "_target", F.explode_outer("_memory").alias("_m"))
+
+    products = [F.get("_target", F.lit(j)) * F.get("_m.v", F.lit(j)) for j in range(width)]
+    compared = rows.select(
+        *SAMPLE_KEYS, F.col("_m._at").alias("_at"),
+        F.coalesce(sum(products[1:], products[0]), F.lit(0.0)).alias("_match"),
+        F.coalesce(weight_of(F.col("_m.b"), K.VALUE_WEIGHTS).cast("double"), F.lit(0.0)).alias("_w"),
+        (F.col("_m.c") == F.col("item_category")).cast("double").alias("_same_c"),
+        (F.col("_m.i") == F.col("item_id")).cast("double").alias("_same_i"),
+        (F.col("_m.b") == K.BUY).cast("double").alias("_buy"))
+    e = F.exp("_match")
+    summed = compared.groupBy(*SAMPLE_KEYS).agg(
+        F.count("_at").cast("double").alias("history_length"),
+        F.try_divide(F.sum(e * F.col("_w")), F.sum(e)).alias("attended_weight"),
+        F.try_divide(F.sum(e * F.col("_same_c")), F.sum(e)).alias("attended_same_category"),
+        F.max("_match").alias("best_match"), F.avg("_match").alias("mean_match"),
+        F.sum("_same_i").alias("same_item_events"), F.sum("_same_c").alias("same_category_events"),
+        F.sum(F.col("_same_i") * F.col("_w")).alias("same_item_weight"), F.sum("_buy").alias("history_buys"),
+        F.max_by("_w", "_at").alias("last_weight"))
+    return summed.na.fill(0.0, list(INTEREST_FEATURES))
 
 
 def train_interest_model(samples: DataFrame, **options) -> PipelineModel:

@@ -1,39 +1,42 @@
-"""Joins. Everything is an equi join; heavy keys are split instead of meeting in one task."""
+"""Joins. Everything is an equi join; heavy keys are salted instead of meeting in one task."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 0.001  # a key above this share of all rows is hot: there are at most 1,000 of them
+MAX_HOT = 1_000  # a key with more than a thousandth of all rows is always among the top 1,000
 HOT_ROWS = 1_000_000  # below this many rows no key is worth splitting
+SALTS = 64
+
 
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
+    """Values of the heaviest keys: at most ``MAX_HOT``, each with more than ``min_rows`` rows.
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``share`` of all rows; at most ``1 / share`` rows, so safe to broadcast."""
-    counts = df.select(*keys).groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = df.select(F.count("*")).scalar()
-    return counts.filter((F.col("_n") > total * share) & (F.col("_n") > min_rows)).select(*keys)
+    One pass over the key column; counts are combined map-side.
+    """
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > min_rows)
+    return [r[key] for r in counts.orderBy(F.desc("_n"), key).limit(MAX_HOT).collect()]
 
 
 def hot_key_join(
-    big: DataFrame, side: DataFrame, key: str, how: str = "left",
-    share: float = HOT_SHARE, min_rows: int = HOT_ROWS, hot: DataFrame | None = None,
+    big: DataFrame, side: DataFrame, key: str, how: str = "left", min_rows: int = HOT_ROWS, hot: list | None = None,
 ) -> DataFrame:
-    """Join a fact-sized table to a side that is unique on ``key``.
+    """Join a fact-sized table to a smaller side on one key.
 
-    Rows of hot keys meet a broadcast of the matching side rows (at most ``1 / share``) and do
-    not move; the rest is an ordinary shuffle join on well-spread keys.
+    Without hot keys this is the plain join. Rows of a hot key are spread over ``SALTS`` parts
+    by a hash of the row (the same after a retry), and the side's rows of hot keys are repeated
+    per part; every other row moves once, as in the plain join.
     """
     if hot is None:
-        hot = hot_keys(big, [key], share, min_rows)
-    hot_side = side.join(F.broadcast(hot), key, "left_semi")
-    flagged = big.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), key, "left")
-    heavy = flagged.filter(F.col("_hot")).drop("_hot").join(F.broadcast(hot_side), key, how)
-    light = flagged.filter(F.col("_hot").isNull()).drop("_hot").join(side, key, how)
-    return heavy.unionByName(light)
+        hot = hot_keys(big, key, min_rows)
+    if not hot:
+        return big.join(side, key, how)
+    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    part = F.when(is_hot, F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int")).otherwise(0)
+    parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    spread = side.withColumn("_salt", F.explode(parts))
+    return big.withColumn("_salt", part).join(spread, [key, "_salt"], how).drop("_salt")
 
 
 def left_join_user(first: DataFrame, *others: DataFrame) -> DataFrame:

@@ -8,28 +8,33 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio_or_null, seconds_between
-from .joins import HOT_ROWS, HOT_SHARE, hot_keys
+from .joins import HOT_ROWS, hot_keys
 
 EVENT_ORDER = ("time", "item_id", "behavior_type")
 
 
-def previous_event(events: DataFrame, share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> DataFrame:
+def previous_event(events: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
     """Adds ``previous_time`` and ``previous_behavior_type`` of the user's event before.
 
-    Events are ordered by (time, item, behaviour). A user with more than ``share`` of all rows
-    is cut into one-minute slices, so the sort of such a user spreads over many tasks; the first
-    event of a slice takes the last event of the slice before it. That last step sees one row
-    per slice and stays partitioned like the window, so the events shuffle once.
+    Events are ordered by (time, item, behaviour). Hot users are cut into one-minute slices, so
+    the sort of such a user spreads over many tasks; the first event of a slice takes the last
+    event of the slice before it. That step sees one row per slice, and its join keeps the
+    partitioning of the window, so the events still shuffle once.
     """
-    hot = hot_keys(events, ["user_id"], share, min_rows).withColumn("_hot", F.lit(True))
+    hot = hot_keys(events, "user_id", min_rows)
+    previous = F.struct("time", "behavior_type")
+    if not hot:
+        lagged = events.withColumn("_previous", F.lag(previous).over(Window.partitionBy("user_id").orderBy(*EVENT_ORDER)))
+        found = F.col("_previous")
+        return lagged.select(
+            *events.columns, found["time"].alias("previous_time"), found["behavior_type"].alias("previous_behavior_type"))
     minute = F.timestamp_diff("MINUTE", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("time"))
-    sliced = events.join(F.broadcast(hot), "user_id", "left").withColumn(
-        "_slice", F.when(F.col("_hot"), minute).otherwise(F.lit(-1).cast("bigint")))
+    is_hot = F.col("user_id").isin(hot)
+    sliced = events.withColumn("_slice", F.when(is_hot, minute).otherwise(F.lit(-1).cast("bigint")))
 
     inside = Window.partitionBy("user_id", "_slice").orderBy(*EVENT_ORDER)
-    lagged = sliced.withColumn("_previous", F.lag(F.struct("time", "behavior_type")).over(inside))
-
-    ends = sliced.filter(F.col("_hot")).groupBy("user_id", "_slice").agg(F.max(F.struct(*EVENT_ORDER)).alias("_end"))
+    lagged = sliced.withColumn("_previous", F.lag(previous).over(inside))
+    ends = sliced.filter(is_hot).groupBy("user_id", "_slice").agg(F.max(F.struct(*EVENT_ORDER)).alias("_end"))
     across = Window.partitionBy("user_id").orderBy("_slice")
     carried = ends.select("user_id", "_slice", F.lag("_end").over(across).alias("_carried"))
 

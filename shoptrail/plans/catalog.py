@@ -645,7 +645,7 @@ def qcut_codes(spark, folder):
 @query
 def qcut_values(spark, folder):
     users = predictions(spark, folder).groupBy("user_id").agg(F.avg("price").alias("score"))
-    return experiment.with_score_bins(users, 10, "code")[0]
+    return experiment.with_score_bins(users, 10, "code")
 
 
 @query
@@ -1050,8 +1050,8 @@ def tree_model_importance(spark, folder):
 @query
 def surrogate_importance(spark, folder):
     rows, columns = model_rows(spark, folder)
-    train, _, test = _parts(rows)
-    scored = classifiers.score(classifiers.train_logistic(train, columns), test, ("user_id", *columns))
+    train = _parts(rows)[0]
+    scored = classifiers.score(classifiers.train_logistic(train, columns), rows, ("user_id", *columns))
     return explain.surrogate_importance(scored, columns, "probability")
 
 
