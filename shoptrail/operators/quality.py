@@ -17,9 +17,9 @@ def _as_rows(df: DataFrame, key: str, value: str) -> DataFrame:
 
 
 def profile_shape(df: DataFrame) -> DataFrame:
-    """(column, null_count), plus the row count under the name ``*``."""
+    """(column, null_count), plus the number of rows under the name ``row_count``."""
     counts = [F.count_if(F.col(c).isNull()).alias(c) for c in df.columns]
-    return _as_rows(df.agg(F.count("*").alias("*"), *counts), "column", "null_count")
+    return _as_rows(df.agg(F.count("*").alias("row_count"), *counts), "column", "null_count")
 
 
 def invalid_id_counts(events: DataFrame) -> DataFrame:
