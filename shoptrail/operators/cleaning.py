@@ -23,6 +23,8 @@ def dedup_events(events: DataFrame, keys: Sequence[str] = K.EVENT_KEY) -> DataFr
     rest = [c for c in events.columns if c not in keys]
     if not rest:
         return events.select(*keys).distinct()
+    if len(rest) == 1:  # a plain minimum keeps the hash aggregate
+        return events.groupBy(*keys).agg(F.min(rest[0]).alias(rest[0])).select(*events.columns)
     first = events.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_rest"))
     return first.select(*[c if c in keys else F.col(f"_rest.{c}").alias(c) for c in events.columns])
 

@@ -44,13 +44,22 @@ def item_table(events: DataFrame) -> DataFrame:
         *behavior_counts("item_browse_count", "item_fav_count", "item_cart_count", "item_buy_count"),
         F.count_distinct("user_id").alias("buyer_count"),
         F.count_distinct("date").alias("item_active_days"),
-        first_category().alias("item_category"),
-    )
+    ).join(item_categories(events), "item_id", "left")
     return table.withColumn("item_conversion_rate", ratio_or_null(F.col("item_buy_count"), F.col("item_action_count")))
 
 
+def item_categories(events: DataFrame) -> DataFrame:
+    """(item_id, item_category): the earliest category of each item.
+
+    The first aggregate is a hash aggregate over all events; only its few rows per item meet
+    the struct minimum, which sorts.
+    """
+    pairs = events.groupBy("item_id", "item_category").agg(F.min("time").alias("time"))
+    return pairs.groupBy("item_id").agg(first_category().alias("item_category"))
+
+
 def first_category() -> Column:
-    """Category of the earliest event that has one; equal times fall to the smaller category."""
+    """Category of the earliest row that has one; equal times fall to the smaller category."""
     known = F.when(F.col("item_category").isNotNull(), F.struct("time", "item_category"))
     return F.min(known)["item_category"]
 

@@ -20,15 +20,22 @@ def hour_counts(events: DataFrame) -> DataFrame:
 
 
 def _peak_hour():
-    return F.max(F.struct("n", (-F.col("hour")).alias("h")))
+    """Largest count, smallest hour, packed in one number: a struct maximum would sort every task's rows."""
+    return F.max(F.col("n") * 32 + (31 - F.col("hour")))
+
+
+def _unpacked(peak):
+    """(count, hour) of a packed peak."""
+    return F.shiftright(peak, 5), (31 - peak.bitwiseAND(F.lit(31))).cast("int")
 
 
 def peak_hour(events: DataFrame) -> DataFrame:
     """Most active hour per user; the smaller hour wins a tie."""
     peak = hour_counts(events).groupBy("user_id").agg(_peak_hour().alias("p"), F.sum("n").alias("t"))
+    count, hour = _unpacked(F.col("p"))
     return peak.select(
-        "user_id", (-F.col("p.h")).alias("peak_active_hour"), F.col("p.n").alias("peak_hour_behavior_count"),
-        ratio_or_null(F.col("p.n"), F.col("t")).alias("peak_hour_behavior_ratio"))
+        "user_id", hour.alias("peak_active_hour"), count.alias("peak_hour_behavior_count"),
+        ratio_or_null(count, F.col("t")).alias("peak_hour_behavior_ratio"))
 
 
 def _period_sums():
@@ -60,11 +67,11 @@ def time_features(events: DataFrame) -> DataFrame:
         F.sum(is_night(F.col("hour")) * n).alias("night"),
     ).withColumn("pp", _best_period())
     total = F.col("t")
+    count, hour = _unpacked(F.col("ph"))
     return per_user.select(
         "user_id", total.alias("total_behavior_count"),
-        (-F.col("ph.h")).alias("peak_active_hour"),
-        F.col("ph.n").alias("peak_hour_behavior_count"),
-        ratio_or_null(F.col("ph.n"), total).alias("peak_hour_behavior_ratio"),
+        hour.alias("peak_active_hour"), count.alias("peak_hour_behavior_count"),
+        ratio_or_null(count, total).alias("peak_hour_behavior_ratio"),
         F.col("pp.period").alias("peak_active_period"),
         F.col("pp.n").alias("peak_period_behavior_count"),
         ratio_or_null(F.col("pp.n"), total).alias("peak_period_behavior_ratio"),
@@ -115,9 +122,10 @@ def item_lifecycle_features(events: DataFrame, recent_days: int = 7) -> DataFram
     """Totals, recent heat and category competition per item."""
     timed = events.filter(F.col("time").isNotNull())
     recent = F.to_date("time") >= F.date_sub(last_day(timed), recent_days)
-    items = timed.groupBy("item_id").agg(
-        F.count("*").alias("item_total_behavior_count"),
-        F.count_if(recent).alias("item_recent_7_behavior_count"),
+    pairs = timed.groupBy("item_id", "item_category").agg(
+        F.count("*").alias("n"), F.count_if(recent).alias("recent"), F.min("time").alias("time"))
+    items = pairs.groupBy("item_id").agg(
+        F.sum("n").alias("item_total_behavior_count"), F.sum("recent").alias("item_recent_7_behavior_count"),
         first_category().alias("item_category"))
     items = items.withColumn("heat_decay_score", ratio_or_null(
         F.col("item_recent_7_behavior_count"), F.col("item_total_behavior_count")))

@@ -629,9 +629,14 @@ def rank_first(spark, folder):
     return ordering.global_rank(counts, ["n", "user_id"])
 
 
+def _joined(df: DataFrame) -> DataFrame:
+    """Arrays as text, for the comparison."""
+    return df.withColumns({c: F.array_join(c, ",") for c in ("item_seq", "cate_seq", "behavior_seq")})
+
+
 @query
 def last_n_sequence(spark, folder):
-    return sequences.last_n_sequence(cleaning.dedup_events(dense(spark, folder).drop("event_id")))
+    return _joined(sequences.last_n_sequence(cleaning.dedup_events(dense(spark, folder).drop("event_id"))))
 
 
 @query
@@ -859,7 +864,7 @@ def build_time_split_dataset(spark, folder):
 def build_sequence_samples(spark, folder):
     """Samples with their item, category and behaviour arrays."""
     events = cleaning.dedup_events(dense(spark, folder).drop("event_id"))
-    return samples.build_time_split_dataset(events)
+    return _joined(samples.build_time_split_dataset(events))
 
 
 @query

@@ -342,6 +342,16 @@ ORACLES: dict[str, str] = {
     "clip": _sql(PRED, """
         select user_id, item_id, least(greatest(logistic_prob, 0.05), 0.95) as logistic_prob,
                least(greatest(xgboost_prob, 0.05), 0.95) as xgboost_prob from pred""", "logistic_prob", "xgboost_prob"),
+    "drop_constant_columns": _sql(SPARSE + ", " + TIME_FEATURES.format(view="sparse"), """
+        select user_id, total_behavior_count, peak_hour_behavior_count, peak_period_behavior_count, night_behavior_count from time_features"""),
+    "feature_quality_summary": _sql(LIFECYCLE + """,
+        low as (""" + " union all ".join(
+            f"select {i} as i, '{c}' as c, count(distinct {c}) + max(({c} is null)::int) <= 1 as is_low from lifecycle"
+            for i, c in enumerate(LIFECYCLE_COLUMNS)) + ")", """
+        select count(*) as wide_rows, 8 as wide_columns, count(*) - count(distinct user_id) as duplicate_users, 0 as duplicate_columns,
+               (select count(*) from low where is_low)::int as low_variance_count,
+               coalesce((select string_agg(c, ',' order by i) from low where is_low), '') as low_variance_features,
+               count(*) as cleaned_rows, (8 - (select count(*) from low where is_low))::int as cleaned_columns, 0::bigint as nulls_left from lifecycle"""),
     # projections
     "with_time_parts": _sql(DENSE, """
         select event_id, time::date as date, hour(time)::int as hour, (isodow(time) - 1)::int as weekday, month(time)::int as month from dense"""),
@@ -513,6 +523,11 @@ ORACLES: dict[str, str] = {
     "max_active_streak": _sql(DENSE + ", dates as (select distinct user_id, time::date as date from dense)", """
         select user_id, max(c) as max_continuous_active_days from (select user_id, g, count(*) as c from (
           select user_id, date - cast(row_number() over (partition by user_id order by date) as int) as g from dates) group by 1, 2) group by 1"""),
+    "last_n_sequence": _sql(DENSE + """,
+        u as (select user_id, item_id, behavior_type, time, min(item_category) as item_category from dense group by 1, 2, 3, 4),
+        k as (select *, row_number() over (partition by user_id order by time desc, item_id desc, behavior_type desc) as r from u)""", """
+        select user_id, string_agg(item_id, ',' order by r desc) as item_seq, string_agg(item_category, ',' order by r desc) as cate_seq,
+               string_agg(behavior_type, ',' order by r desc) as behavior_seq from k where r <= 50 group by 1"""),
     "rank_first": _sql(SPARSE + ", c as (select user_id, count(*) as n from sparse group by 1)", "select *, row_number() over (order by n, user_id) as rank from c"),
     "qcut_codes": _sql(SPARSE + ", c as (select user_id, count(*) as n from sparse group by 1), k as (select *, row_number() over (order by n, user_id) as rank from c)", """
         select *, greatest(ceil((rank - 1) * 5 / ((select count(*) from c) - 1))::bigint - 1, 0) as code from k"""),
@@ -595,6 +610,12 @@ ORACLES: dict[str, str] = {
         select s + greatest(1, floor(greatest(e - s, 3) * 0.7::double)::int) as train_cutoff,
                least(s + greatest(2, floor(greatest(e - s, 3) * 0.8999999999999999::double)::int), e - 1) as val_cutoff, e as test_cutoff from span"""),
     "build_time_split_dataset": _sql(SAMPLES, "select * from drawn"),
+    "build_sequence_samples": _sql(SAMPLES + """,
+        k as (select *, row_number() over (partition by split, user_id order by time desc, item_id desc, behavior_type desc) as r
+              from unique_events, each_cut where time >= cut - 7 and time < cut),
+        q as (select split, user_id, string_agg(item_id, ',' order by r desc) as item_seq, string_agg(item_category, ',' order by r desc) as cate_seq,
+                     string_agg(behavior_type, ',' order by r desc) as behavior_seq from k where r <= 50 group by 1, 2)""", """
+        select d.*, q.item_seq, q.cate_seq, q.behavior_seq from drawn d join q using (split, user_id)"""),
     "encode_ids": _sql(DENSE, """
         select event_id, dense_rank() over (order by user_id::varchar) as user_id_idx, dense_rank() over (order by item_id::varchar) as item_id_idx,
                dense_rank() over (order by item_category::varchar) as item_category_idx, dense_rank() over (order by behavior_type::varchar) as behavior_type_idx
@@ -615,6 +636,12 @@ ORACLES: dict[str, str] = {
                max(time)::date - 180 as feature_end_date, max(time)::date as label_end_date from sparse"""),
     # models
     "evaluate_binary": _sql(PRED + ", " + _metrics("pred", "status", "xgboost_prob"), "select * from scores", "positive_rate", *SCORES, "error_rate"),
+    "pr_auc": _sql(PRED + """,
+        h as (select xgboost_prob as s, count(*) filter (label = 1) as p, count(*) as n from pred group by 1),
+        c as (select s, sum(p) over w as tp, sum(n) over w as seen, (select sum(p) from h) as total from h window w as (order by s desc)),
+        r as (select s, tp / total as recall, tp / seen as prec from c),
+        g as (select recall - coalesce(lag(recall) over (order by s desc), 0) as step, (prec + coalesce(lag(prec) over (order by s desc), prec)) / 2 as height from r)""",
+        "select sum(step * height) as pr_auc from g", "pr_auc"),
     "classification_report": _sql(PRED + """,
         c as (select count(*) filter (label = 0 and logistic_prob < 0.5) as tn, count(*) filter (label = 0 and logistic_prob >= 0.5) as fp,
                      count(*) filter (label = 1 and logistic_prob < 0.5) as fn, count(*) filter (label = 1 and logistic_prob >= 0.5) as tp from pred),
