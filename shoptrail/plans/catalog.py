@@ -690,8 +690,8 @@ def top_categories(spark, folder):
 
 
 def _units(spark, folder) -> DataFrame:
-    return experiment.experiment_units(
-        predictions(spark, folder), score="stacking_prob", item="item_id", category="item_category", price="price")
+    return materialize(experiment.experiment_units(
+        predictions(spark, folder), score="stacking_prob", item="item_id", category="item_category", price="price"))
 
 
 @query
