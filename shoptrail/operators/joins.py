@@ -13,9 +13,9 @@ SALTS = 64
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
     """Values of the heaviest keys: at most ``MAX_HOT``, each with more than ``min_rows`` rows.
 
-    One pass over the key column; counts are combined map-side.
+    One pass over the key column; counts are combined map-side. NULL can be a hot key.
     """
-    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > min_rows)
+    counts = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > min_rows)
     return [r[key] for r in counts.orderBy(F.desc("_n"), key).limit(MAX_HOT).collect()]
 
 
@@ -32,7 +32,8 @@ def hot_key_join(
         hot = hot_keys(big, key, min_rows)
     if not hot:
         return big.join(side, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
+    known = [v for v in hot if v is not None]
+    is_hot = F.coalesce(F.col(key).isin(known), F.lit(None in hot))  # NULL keys match nothing, but must spread too
     part = F.when(is_hot, F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int")).otherwise(0)
     parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     spread = side.withColumn("_salt", F.explode(parts))

@@ -21,7 +21,7 @@ def previous_event(events: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
     event of the slice before it. That step sees one row per slice, and its join keeps the
     partitioning of the window, so the events still shuffle once.
     """
-    hot = hot_keys(events, "user_id", min_rows)
+    hot = [user for user in hot_keys(events, "user_id", min_rows) if user is not None]
     previous = F.struct("time", "behavior_type")
     if not hot:
         lagged = events.withColumn("_previous", F.lag(previous).over(Window.partitionBy("user_id").orderBy(*EVENT_ORDER)))
@@ -29,7 +29,7 @@ def previous_event(events: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
         return lagged.select(
             *events.columns, found["time"].alias("previous_time"), found["behavior_type"].alias("previous_behavior_type"))
     minute = F.timestamp_diff("MINUTE", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("time"))
-    is_hot = F.col("user_id").isin(hot)
+    is_hot = F.coalesce(F.col("user_id").isin(hot), F.lit(False))
     sliced = events.withColumn("_slice", F.when(is_hot, minute).otherwise(F.lit(-1).cast("bigint")))
 
     inside = Window.partitionBy("user_id", "_slice").orderBy(*EVENT_ORDER)

@@ -18,6 +18,7 @@ from ..functions.draws import hash_cutoffs, hash_order
 from ..session import materialize
 from .classifiers import label_counts
 from .contracts import require_columns, require_domain
+from .dataset import stratified_split
 from .metrics import evaluate_binary
 
 
@@ -43,6 +44,17 @@ def align_predictions(logistic: DataFrame, xgboost: DataFrame, din: DataFrame, k
     return merged.withColumns({c: clip(F.col(c), 1e-6, 1 - 1e-6) for c in K.BASE_PROBABILITIES})
 
 
+def _both_labels(df: DataFrame) -> bool:
+    row = df.agg(F.min("label").alias("low"), F.max("label").alias("high")).first()
+    return row["low"] == 0 and row["high"] == 1
+
+
+def split_by_label(df: DataFrame, keys: Sequence[str], percent: int = 70, seed: int = K.SEED) -> tuple[DataFrame, DataFrame]:
+    """The first ``percent`` of each label in hash order, and the rest."""
+    split = stratified_split(df, keys, percents=(percent, 0), seed=seed)
+    return split.filter(F.col("split") == "train").drop("split"), split.filter(F.col("split") == "test").drop("split")
+
+
 def split_by_hash(df: DataFrame, keys: Sequence[str], percent: int = 70, seed: int = K.SEED) -> tuple[DataFrame, DataFrame]:
     """The first ``percent`` of all rows in hash order, and the rest."""
     tagged = df.withColumn("_all", F.lit(1))
@@ -62,9 +74,14 @@ class Stack:
 
 
 def stack_models(merged: DataFrame, keys: Sequence[str] = ("user_id",), threshold: float = 0.5, seed: int = K.SEED) -> Stack:
-    """Balanced logistic regression on the standardised base probabilities."""
+    """Balanced logistic regression on the standardised base probabilities.
+
+    The split is drawn again within the labels when a part lacks one of them.
+    """
     merged = materialize(merged)
     train, test = split_by_hash(merged, keys, seed=seed)
+    if not (_both_labels(train) and _both_labels(test)):
+        train, test = split_by_label(merged, keys, seed=seed)
     negative, positive = label_counts(train)
     n = negative + positive
     weighted = train.withColumn("_weight", F.when(F.col("label") == 1, n / (2 * positive)).otherwise(n / (2 * negative)))

@@ -19,6 +19,14 @@ def test_salted_join_equals_join(spark, skewed):
         assert salted.select(plain.columns).exceptAll(plain).count() == 0 and salted.count() == plain.count()
 
 
+def test_null_keys_spread_and_stay(spark, skewed):
+    big = skewed.withColumn("user_id", F.when(F.col("user_id") != 1, F.col("user_id")))
+    side = skewed.select("user_id").distinct().withColumn("n", F.lit(1))
+    assert joins.hot_keys(big, "user_id", min_rows=500) == [None]
+    salted = joins.hot_key_join(big, side, "user_id", "left", min_rows=500)
+    assert salted.count() == 3000 and salted.filter("n is null").count() == big.filter("user_id is null").count()
+
+
 def test_sliced_user_equals_whole_user(skewed):
     plain = sequences.previous_event(skewed)
     sliced = sequences.previous_event(skewed, min_rows=50)
