@@ -172,8 +172,8 @@ assigned as (
 base as (
   select coalesce(nullif(greatest(avg(label) filter (ab_group = 'control'), 0), 0), nullif(avg(label), 0), 0.01) as baseline_rate from assigned),
 sizes as (
-  select baseline_rate, cast(ceil(power(1.959963984540054 * sqrt(2 * m * (1 - m))
-           + 0.8416212335729143 * sqrt(c * (1 - c) + t * (1 - t)), 2) / power(t - c, 2)) as bigint) as required_sample_per_group
+  select baseline_rate, cast(coalesce(ceil(power(1.959963984540054 * sqrt(2 * m * (1 - m))
+           + 0.8416212335729143 * sqrt(c * (1 - c) + t * (1 - t)), 2) / nullif(power(t - c, 2), 0)), 0) as bigint) as required_sample_per_group
   from (select *, (c + t) / 2 as m from (
     select *, least(greatest(c * 1.15, 0.001), 0.999) as t from (
       select baseline_rate, least(greatest(baseline_rate, 0.001), 0.999) as c from base)))),
