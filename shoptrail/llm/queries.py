@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe
+from . import bpe, langid, quality, toxicity
+from .sampling import remainder
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -31,6 +32,34 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_bpe": op1_bpe}
+def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = quality.learn(documents, table(spark, folder, "labels"))
+    scored = quality.score(documents, model, keep=["doc_id"])
+    return scored.select("doc_id", "quality_score", (F.col("quality_score") >= quality.THRESHOLD).alias("kept"))
+
+
+def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents, held_out = table(spark, folder, "documents"), remainder("doc_id", 5) == 0
+    labels = table(spark, folder, "labels").select("doc_id", "toxic").filter(remainder("doc_id", 5) != 0)
+    grammar = toxicity.learn(documents.select("doc_id", "text").join(labels, "doc_id"))
+    scored = toxicity.score(documents, grammar, keep=["doc_id"])
+    return scored.select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
+    documents, part = table(spark, folder, "documents"), remainder("doc_id", 4)
+    net = langid.train(documents.filter(part != 2))
+    predicted = langid.predict(documents, net, keep=["doc_id"])
+    return predicted.select("doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
+    "op6_quality": op6_quality,
+    "op7_toxicity": op7_toxicity,
+    "op10_langid": op10_langid,
+}
 
 ORACLES: dict[str, str] = {}
