@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, langid, quality, toxicity
+from . import bpe, fingerprints, langid, mixing, quality, toxicity
 from .sampling import remainder
 
 
@@ -48,6 +48,28 @@ def op7_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    made = fingerprints.edited(table(spark, folder, "documents"))
+    own, changed, following = F.col("fingerprint"), F.col("edited_fingerprint"), F.col("next_fingerprint")
+    near = made.withColumns({"near_edited": fingerprints.likeness(own, changed), "near_next": fingerprints.likeness(own, following)})
+    return near.select(
+        "doc_id",
+        F.length("text").cast("bigint").alias("n_chars"),
+        F.sha2("edited_text", 256).alias("edited_sha256"),
+        fingerprints.written(F.col("fingerprint")).alias("fingerprint"),
+        fingerprints.written(F.col("edited_fingerprint")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    sized = documents.select("doc_id", "source", mixing.words(F.col("text")).alias("size"))
+    mixed = mixing.mix(sized, ["doc_id"])
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
+
+
 def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
     documents, part = table(spark, folder, "documents"), remainder("doc_id", 4)
     net = langid.train(documents.filter(part != 2))
@@ -59,6 +81,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_mixing": op9_mixing,
     "op10_langid": op10_langid,
 }
 
