@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, langid, mixing, quality, toxicity
+from . import bpe, fingerprints, langid, mixing, neighbours, quality, toxicity, urls
 from .sampling import remainder
 
 
@@ -32,6 +32,19 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
+
+
+def op4_urls(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    model = urls.train(pages.select("url", urls.listed_label(urls.host_of(F.col("url"))).alias("label")))
+    return urls.judge(pages, model, URL_RULES, keep=["page_id"])
+
+
+def op5_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.search(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_quality(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     model = quality.learn(documents, table(spark, folder, "labels"))
@@ -79,6 +92,8 @@ def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op4_urls": op4_urls,
+    "op5_neighbours": op5_neighbours,
     "op6_quality": op6_quality,
     "op7_toxicity": op7_toxicity,
     "op8_fingerprints": op8_fingerprints,
