@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, langid, mixing, neighbours, quality, toxicity, urls
+from . import bpe, fingerprints, langid, mixing, neighbours, quality, substrings, toxicity, urls
 from .sampling import remainder
 
 
@@ -32,6 +32,11 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return substrings.dedup(documents, counts=("n_sentences", "n_removed"))
+
+
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/")]
 
 
@@ -92,6 +97,7 @@ def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op3_substrings": op3_substrings,
     "op4_urls": op4_urls,
     "op5_neighbours": op5_neighbours,
     "op6_quality": op6_quality,
