@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprints, langid, mixing, neighbours, quality, substrings, toxicity, urls
+from . import bpe, fingerprints, jaccard, langid, mixing, neighbours, quality, substrings, toxicity, urls
 from .sampling import remainder
 
 
@@ -32,6 +32,10 @@ def op1_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.linked(table(spark, folder, "documents"))
+
+
 def op3_substrings(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents").select("doc_id", "text")
     return substrings.dedup(documents, counts=("n_sentences", "n_removed"))
@@ -97,6 +101,7 @@ def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_jaccard": op2_jaccard,
     "op3_substrings": op3_substrings,
     "op4_urls": op4_urls,
     "op5_neighbours": op5_neighbours,
