@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,3 +48,14 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    Unlike ``materialize`` this keeps columns, statistics and partitions, so later stages read only what they use.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    folder = f"{df.sparkSession.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
+    df.write.partitionBy(*partition_by).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
