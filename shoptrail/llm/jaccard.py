@@ -257,8 +257,8 @@ def pairs_left(shared: DataFrame, sizes: DataFrame, threshold: int) -> DataFrame
     return one.join(two, "signature").filter(near).select("a", "b").distinct()
 
 
-def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """(key, n_shingles, component_id) of each row: the smallest key reachable by links, its own included."""
+def placed_rows(docs: DataFrame, key: str, text: str, threshold: int) -> DataFrame:
+    """(_key, _row, n_shingles, class, component, component_id) of each row; null class and component for an empty set."""
     base = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     base = base.withColumn("_row", F.xxhash64("_key", "_text"))  # equal rows are equal sets
     sets = materialize(set_table(base, dict(docs.dtypes)[key]))
@@ -277,16 +277,24 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
     named = materialize(components(links.union(more)))
     member = classes.join(named, F.col("class") == F.col("node"), "left").select("class", "least", F.coalesce("component", "class").alias("component"))
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
-    resolved = member.join(least, "component").select(F.col("class").alias("_class"), "component_id")
-    return sets.join(resolved, F.col("class") == F.col("_class"), "left").select(
-        F.col("_key").alias(key), "n_shingles", F.when(F.col("class").isNull(), F.col("_key")).otherwise(F.col("component_id")).alias("component_id"))
+    resolved = member.join(least, "component").select(F.col("class").alias("_class"), "component", "component_id")
+    return sets.join(resolved, F.col("class") == F.col("_class"), "left").drop("_class")
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
-    """One document of each group of linked ones, the one with the smallest key; of rows that repeat a key, one.
+def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """(key, n_shingles, component_id) of each row: the smallest key reachable by links, its own included."""
+    rows = placed_rows(docs, key, text, threshold)
+    own = F.when(F.col("class").isNull(), F.col("_key")).otherwise(F.col("component_id"))
+    return rows.select(F.col("_key").alias(key), "n_shingles", own.alias("component_id"))
 
-    Documents without words and those without a key stay.
-    """
-    marks = linked(docs, key, text, threshold).filter(F.col(key) != F.col("component_id")).select(F.col(key).alias("_gone")).distinct()
-    left = docs.join(marks, F.col(key) == F.col("_gone"), "left_anti")
-    return left
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """One document of each group of linked ones: the smallest key, null last. Documents without words stay; of equal rows one."""
+    rows = materialize(placed_rows(docs, key, text, threshold))
+    first = rows.filter("component is not null").groupBy("component").agg(
+        F.min(F.struct(F.col("_key").isNull().alias("last"), "_key", "_row")).alias("first"))
+    gone = rows.join(first, "component").filter(F.col("_row") != F.col("first._row")).select("_row").distinct()
+    left = docs.withColumn("_row", F.xxhash64(key, text)).join(gone, "_row", "left_anti")
+    if rows.groupBy("_row").count().filter("count > 1").limit(1).count():
+        left = left.dropDuplicates(["_row"])
+    return left.select(*docs.columns)
