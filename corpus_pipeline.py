@@ -32,7 +32,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each text."""
-    encoded = bpe.encode(docs, tokenizer_path(), keep=[c for c in docs.columns if c != "text"])
+    encoded = bpe.encode(docs, tokenizer_path(), keep=[c for c in docs.columns if c not in ("text", "ids", "n_tokens")])
     return encoded.withColumn("n_tokens", F.size("ids"))
 
 

@@ -294,7 +294,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold
     first = rows.filter("component is not null").groupBy("component").agg(
         F.min(F.struct(F.col("_key").isNull().alias("last"), "_key", "_row")).alias("first"))
     gone = rows.join(first, "component").filter(F.col("_row") != F.col("first._row")).select("_row").distinct()
-    left = docs.withColumn("_row", F.xxhash64(key, text)).join(gone, "_row", "left_anti")
+    left = docs.withColumn("__row__", F.xxhash64(key, text)).join(gone, F.col("__row__") == F.col("_row"), "left_anti")
     if rows.groupBy("_row").count().filter("count > 1").limit(1).count():
-        left = left.dropDuplicates(["_row"])
+        left = left.dropDuplicates(["__row__"])
     return left.select(*docs.columns)

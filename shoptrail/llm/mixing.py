@@ -155,10 +155,10 @@ class _of:
 
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns they came with."""
-    marked = docs.withColumns({"_id": F.to_json(F.struct(F.col(key))), "_t": F.xxhash64(F.col(text))})
-    nth = F.row_number().over(Window.partitionBy("_id", "_t").orderBy(F.xxhash64(*docs.columns)))
-    sized = marked.select("_id", "_t", F.col(source).alias("source"), words(F.col(text)).alias("size")).withColumn(
-        "_nth", F.row_number().over(Window.partitionBy("_id", "_t").orderBy("source", "size")))
-    taken = mix(sized, ["_id", "_t", "_nth"], **options).filter("copies > 0").select("_id", "_t", "_nth", "copies")
-    repeated = marked.withColumn("_nth", nth).join(taken, ["_id", "_t", "_nth"])
-    return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    marked = docs.withColumns({"__id__": F.to_json(F.struct(F.col(key))), "__t__": F.xxhash64(F.col(text))})
+    nth = F.row_number().over(Window.partitionBy("__id__", "__t__").orderBy(F.xxhash64(*docs.columns)))
+    sized = marked.select("__id__", "__t__", F.col(source).alias("source"), words(F.col(text)).alias("size")).withColumn(
+        "__nth__", F.row_number().over(Window.partitionBy("__id__", "__t__").orderBy("source", "size")))
+    taken = mix(sized, ["__id__", "__t__", "__nth__"], **options).filter("copies > 0").select("__id__", "__t__", "__nth__", "copies")
+    repeated = marked.withColumn("__nth__", nth).join(taken, ["__id__", "__t__", "__nth__"])
+    return repeated.withColumn("__copy__", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)

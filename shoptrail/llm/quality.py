@@ -112,15 +112,15 @@ def measured(df: DataFrame, keep: list[str], text: str, source: str, lang: str)
         powers = Powers()
         for batch in batches:
             at = {name: batch.schema.names.index(name) for name in batch.schema.names}
-            for first, last, data, offsets in pieces(batch.column(at["_text"])):
+            for first, last, data, offsets in pieces(batch.column(at["__text__"])):
                 content, lines = content_and_lines(data, offsets, powers)
                 part = batch.slice(first, last - first)
-                found = np.hstack([content, lines, _hashed(part.column(at["_source"])), _hashed(part.column(at["_lang"]))])
+                found = np.hstack([content, lines, _hashed(part.column(at["__source__"])), _hashed(part.column(at["__lang__"]))])
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(found.ravel()), found.shape[1]).cast(pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([*[part.column(at[c]) for c in keep], lists], names=[*keep, "_features"])
+                yield pa.RecordBatch.from_arrays([*[part.column(at[c]) for c in keep], lists], names=[*keep, "__features__"])
 
-    used = df.select(*keep, F.col(text).alias("_text"), F.col(source).alias("_source"), F.col(lang).alias("_lang"))
-    return used.mapInArrow(run, T.StructType([*[df.schema[c] for c in keep], T.StructField("_features", T.ArrayType(T.DoubleType()))]))
+    used = df.select(*keep, F.col(text).alias("__text__"), F.col(source).alias("__source__"), F.col(lang).alias("__lang__"))
+    return used.mapInArrow(run, T.StructType([*[df.schema[c] for c in keep], T.StructField("__features__", T.ArrayType(T.DoubleType()))]))
 
 
 @dataclass
@@ -206,7 +206,7 @@ def learn(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
 
     def features(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         got = measured(rows, ["_label", "_at"], text, source, lang).toArrow()
-        x = np.array(got.column("_features").combine_chunks().flatten()).reshape(-1, len(CONTENT) + len(METADATA))
+        x = np.array(got.column("__features__").combine_chunks().flatten()).reshape(-1, len(CONTENT) + len(METADATA))
         at = got.column("_at").to_numpy()
         order = np.lexsort((x[:, 0], at))  # the same order in every run
         return x[order], got.column("_label").to_numpy()[order].astype(float), at[order]

@@ -72,7 +72,7 @@ def _first_of(row: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 def span_table(docs: DataFrame) -> DataFrame:
-    """(h, key, span): the first of each hash in each row of ``docs`` (_key, _text); a span packs its first sentence and length."""
+    """(h, key, span): the first of each hash in each row of ``docs`` (__key__, __text__); a span packs its first sentence and length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
@@ -80,32 +80,28 @@ def span_table(docs: DataFrame) -> DataFrame:
             keys = batch.column(0).to_numpy()
             for first_row, last_row, data, offsets in pieces(batch.column(1)):
                 row, _, first, after, words = sentences(data, offsets, powers)
-                at, n, hashes = spans(row, first, after, words, powers)
-                owner = row[at]
-                fresh = _first_of(owner, hashes)
-                at, n, hashes, owner = at[fresh], n[fresh], hashes[fresh], owner[fresh]
-                begin = np.searchsorted(row, owner)  # the row's first sentence
+                at, _, hashes = spans(row, first, after, words, powers)
+                fresh = _first_of(row[at], hashes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(hashes.view(np.int64)), pa.array(keys[first_row:last_row][owner]), pa.array((at - begin) << 16 | np.minimum(n, 65535))],
-                    names=["h", "key", "span"])
+                    [pa.array(hashes[fresh].view(np.int64)), pa.array(keys[first_row:last_row][row[at[fresh]]])], names=["h", "key"])
 
-    return docs.select("_key", "_text").mapInArrow(run, "h long, key long, span long")
+    return docs.select("__key__", "__text__").mapInArrow(run, "h long, key long")
 
 
 def repeated(docs: DataFrame) -> DataFrame:
-    """(key, spans): of each document the spans that stand in a document with a smaller key."""
+    """(key, hashes): of each document the spans that stand in a document with a smaller key; as many as it has sentences at most."""
     found = span_table(docs)
     # hash aggregates of two numbers combine before the shuffle; a span in one document goes no further
-    firsts = found.groupBy("h").agg(F.min("key").alias("_first"), F.max("key").alias("_last")).filter("_first <> _last").select("h", "_first")
-    later = found.join(firsts, "h").filter("key <> _first")
-    return later.groupBy("key").agg(F.collect_list("span").alias("_spans"))
+    firsts = found.groupBy("h").agg(F.min("key").alias("__first__"), F.max("key").alias("__last__")).filter("__first__ <> __last__").select("h", "__first__")
+    later = found.join(firsts, "h").filter("key <> __first__")
+    return later.groupBy("key").agg(F.collect_list("h").alias("__spans__"))
 
 
 def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", counts: tuple[str, str] | None = None) -> DataFrame:
     """``df`` with the texts that are left; ``counts`` names columns for the number of sentences and of removed ones."""
-    keyed = df.withColumn("_key", F.coalesce(F.col(key).cast("bigint"), F.lit(_NULL_KEY)))
-    marks = repeated(keyed.select("_key", F.col(text).alias("_text"))).withColumnRenamed("key", "_marked")
-    joined = keyed.join(marks, F.col("_key") == F.col("_marked"), "left").select(*df.columns, "_spans")
+    keyed = df.withColumn("__key__", F.coalesce(F.col(key).cast("bigint"), F.lit(_NULL_KEY)))
+    marks = repeated(keyed.select("__key__", F.col(text).alias("__text__"))).withColumnRenamed("key", "__marked__")
+    joined = keyed.join(marks, F.col("__key__") == F.col("__marked__"), "left").select(*df.columns, "__spans__")
     names, extra = df.columns, list(counts or ())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,12 +116,12 @@ def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", counts: tuple[
                 at, n, hashes = spans(row, first, after, words, powers)
                 count = np.bincount(row, minlength=last_row - first_row)
                 begin = np.cumsum(count) - count
-                again = ~_first_of(row[at], hashes)  # repeats inside one text
                 here = marked.slice(first_row, last_row - first_row)
-                packed = here.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
                 owner = np.repeat(np.arange(len(here)), pc.fill_null(pc.list_value_length(here), 0).to_numpy())
-                lo = np.concatenate([at[again], begin[owner] + (packed >> 16)])
-                size = np.concatenate([n[again], packed & 65535])
+                named = here.flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+                inside = np.isin(hashes + mix(row[at]), named + mix(owner))  # named for this very row
+                again = inside | ~_first_of(row[at], hashes)  # or a repeat inside one text
+                lo, size = at[again], n[again]
                 edges = np.zeros(len(row) + 1, np.int64)
                 np.add.at(edges, lo, 1)
                 np.add.at(edges, lo + size, -1)
