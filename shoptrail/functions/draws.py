@@ -1,7 +1,8 @@
 """Deterministic draws: rows in the order of a hash of their key.
 
 The draw does not depend on partitioning or on retries, and needs no global sort: counts per
-hash prefix locate the cut, one prefix is ranked, and the draw itself is a filter.
+hash prefix locate the cut, prefixes grow until the cut's slot is small, that slot is ranked,
+and the draw itself is a filter.
 """
 
 from __future__ import annotations
@@ -11,9 +12,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .constants import SEED
+from .groups import join_groups
 
-_PREFIX = 4  # hex digits: 65,536 slots per group
+_STEP = 4  # hex digits that the prefix grows by: 65,536 slots each time
+_SLOT_ROWS = 100_000  # rows of a slot that one task may rank
+_DIGITS = 32
 _EVERYTHING = "~"  # sorts after every hex digest
 
 
@@ -22,34 +27,50 @@ def hash_order(keys: Sequence[str], seed: int = SEED) -> Column:
 
 
 def hash_cutoffs(df: DataFrame, keys: Sequence[str], quotas: DataFrame, by: Sequence[str], seed: int = SEED) -> DataFrame:
-    """Per group the digest of its ``quota``-th row, as ``(by…, quota, cutoff)``.
+    """Per group the digest of its ``quota``-th row, as ``(by…, quota, cutoff, at_cutoff, ties)``.
 
-    ``quotas`` has one row per group (labels, strata, splits: few). ``keys`` identify a row.
+    ``quotas`` has one row per group; NULL is a group. ``keys`` identify a row; where they repeat, ``ties`` rows share the
+    cutoff and the quota takes ``at_cutoff`` of them.
     """
     by = list(by)
-    digests = df.select(*by, hash_order(keys, seed).alias("_h")).withColumn("_slot", F.substring("_h", 1, _PREFIX))
-    slots = digests.groupBy(*by, "_slot").agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy(*by).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
-    slots = slots.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-    edge = slots.join(quotas, by).filter(
-        (F.col("_before") < F.col("quota")) & (F.col("quota") <= F.col("_before") + F.col("_n"))
-    ).select(*by, "_slot", (F.col("quota") - F.col("_before")).alias("_need"))
-    # at most one slot per group, and a slot holds about 1/65,536 of the group
-    inside = digests.join(F.broadcast(edge), [*by, "_slot"])
-    position = F.row_number().over(Window.partitionBy(*by).orderBy("_h"))
-    cut = inside.withColumn("_at", position).filter(F.col("_at") == F.col("_need")).select(*by, "_h")
-    return quotas.join(cut, by, "left").select(
+    digests = df.select(*by, hash_order(keys, seed).alias("_h"))
+    edge = quotas.select(*by, F.col("quota").alias("_need"), F.lit("").alias("_slot"), F.lit(None).cast("bigint").alias("_size"))
+    for length in range(_STEP, _DIGITS + 1, _STEP):
+        prefix = F.substring("_h", 1, length)
+        inside = digests if length == _STEP else join_groups(digests.withColumn("_slot", F.substring("_h", 1, length - _STEP)), edge.select(*by, "_slot"), [*by, "_slot"])
+        slots = inside.withColumn("_next", prefix).groupBy(*by, "_next").agg(F.count("*").alias("_n"))
+        earlier = Window.partitionBy(*by).orderBy("_next").rowsBetween(Window.unboundedPreceding, -1)
+        slots = slots.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+        edge = materialize(join_groups(slots, edge.select(*by, "_need"), by).filter(
+            (F.col("_before") < F.col("_need")) & (F.col("_need") <= F.col("_before") + F.col("_n"))
+        ).select(*by, (F.col("_need") - F.col("_before")).alias("_need"), F.col("_next").alias("_slot"), F.col("_n").alias("_size")))
+        if length == _DIGITS or edge.filter(F.col("_size") > _SLOT_ROWS).isEmpty():
+            break
+    # at most one slot per group, of a bounded number of rows unless a key repeats more often than that
+    inside = join_groups(digests.withColumn("_slot", F.substring("_h", 1, length)), edge.drop("_size"), [*by, "_slot"])
+    position = Window.partitionBy(*by).orderBy("_h")
+    counted = inside.groupBy(*by, "_h", "_need").agg(F.count("*").alias("ties"))
+    below = F.coalesce(F.sum("ties").over(position.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cut = counted.withColumn("_below", below).filter((F.col("_below") < F.col("_need")) & (F.col("_need") <= F.col("_below") + F.col("ties")))
+    cut = cut.select(*by, "_h", (F.col("_need") - F.col("_below")).alias("at_cutoff"), "ties")
+    return join_groups(quotas, cut, by, "left").select(
         *by, "quota",
-        F.when(F.col("quota") <= 0, "").otherwise(F.coalesce("_h", F.lit(_EVERYTHING))).alias("cutoff"),
-    )
+        F.when(F.col("quota") <= 0, "").otherwise(F.coalesce("_h", F.lit(_EVERYTHING))).alias("cutoff"), "at_cutoff", "ties")
 
 
 def take_by_hash(df: DataFrame, keys: Sequence[str], quotas: DataFrame, by: Sequence[str], seed: int = SEED) -> DataFrame:
-    """The first ``quota`` rows of each group in hash order."""
+    """The first ``quota`` rows of each group in hash order; among rows that repeat a key, in the order of all their columns."""
     by = list(by)
-    cutoffs = hash_cutoffs(df, keys, quotas, by, seed).drop("quota")
-    drawn = df.join(F.broadcast(cutoffs), by).filter(hash_order(keys, seed) <= F.col("cutoff"))
-    return drawn.select(*df.columns)
+    cutoffs = materialize(hash_cutoffs(df, keys, quotas, by, seed))
+    digest = hash_order(keys, seed)
+    joined = join_groups(df, cutoffs.drop("quota"), by)
+    if cutoffs.filter("ties > at_cutoff").isEmpty():
+        return joined.filter(digest <= F.col("cutoff")).select(*df.columns)
+    whole = (F.col("ties") <= F.col("at_cutoff")) | F.col("ties").isNull()
+    sure = joined.filter((digest < F.col("cutoff")) | (whole & (digest == F.col("cutoff"))))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.xxhash64(*df.columns)))
+    tied = joined.filter(~whole & (digest == F.col("cutoff"))).withColumn("_place", place).filter(F.col("_place") <= F.col("at_cutoff"))
+    return sure.select(*df.columns).unionByName(tied.select(*df.columns))
 
 
 def sample_exact(df: DataFrame, n: int, keys: Sequence[str], seed: int = SEED) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .groups import join_groups
 
 _INDEX_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
@@ -26,8 +27,8 @@ def _earlier(group_by: Sequence[str]):
 def global_rank(df: DataFrame, order_by: Sequence[str], group_by: Sequence[str] = (), name: str = "rank") -> DataFrame:
     """``row_number`` over ``order_by`` (ascending), from 1, inside each group.
 
-    ``group_by`` columns must not be NULL and there should be few groups; a group may hold
-    any share of the rows. ``order_by`` should end in a unique key.
+    NULL is a group of its own; a group may hold any share of the rows. ``order_by`` should end
+    in a unique key.
     """
     group_by = list(group_by)
     order = [*group_by, *order_by]
@@ -41,8 +42,8 @@ def global_rank(df: DataFrame, order_by: Sequence[str], group_by: Sequence[str]
         *group_by, "_range", "_first",
         F.coalesce(F.sum("_rows").over(_earlier(group_by)), F.lit(0)).alias("_before"),
     )
-    # one row per range and group: bounded by the partition count plus the group count
-    ranked = laid.join(F.broadcast(ranges), [*group_by, "_range"])
+    # one row per range and group: the partition count plus the group count; broadcast if few by count
+    ranked = join_groups(laid, ranges, [*group_by, "_range"])
     return ranked.withColumn(name, F.col("_before") + F.col("_at") - F.col("_first") + 1).select(*df.columns, name)
 
 
@@ -63,7 +64,7 @@ def running_totals(df: DataFrame, order_by: Sequence[str], sums: Sequence[str],
     )
     inside = Window.partitionBy(*group_by, "_range").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, -1)
     summed = laid.withColumns({f"_{c}_in": F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums})
-    joined = summed.join(F.broadcast(ranges), [*group_by, "_range"])
+    joined = join_groups(summed, ranges, [*group_by, "_range"])
     return joined.select(
         *df.columns,
         *[(F.col(f"_{c}_base") + F.col(f"_{c}_in")).alias(f"{c}_before") for c in sums],

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.columns import last_day, ratio_or_null, start_of
+from ..functions.groups import join_groups
 from ..functions.draws import hash_cutoffs, hash_order, sample_exact, take_by_hash
+from ..session import materialize
 from .cleaning import replace_inf
 from .joins import flag_users, lookup_join, semi_join_users
 
@@ -45,8 +47,8 @@ def history_filter(features: DataFrame, events: DataFrame, label_days: int = 7)
 
 
 def undersample_balanced(dataset: DataFrame, keys: Sequence[str] = ("user_id",), seed: int = K.SEED) -> DataFrame:
-    """As many rows of each label as the smaller label has, drawn by key hash."""
-    counts = dataset.groupBy("label").agg(F.count("*").alias("n"))
+    """As many rows of each label as the smaller label has, drawn by key hash; rows without a label are left out."""
+    counts = dataset.filter(F.col("label").isin(0, 1)).groupBy("label").agg(F.count("*").alias("n"))
     present = {r["label"] for r in counts.collect()}  # two rows
     if not {0, 1} <= present:
         raise ValueError("both labels are needed to balance a dataset")
@@ -94,24 +96,24 @@ def stratified_split(
     percents: tuple[int, int] = (70, 20), seed: int = K.SEED,
 ) -> DataFrame:
     """Adds ``split``: per label the first 70 % in hash order train, the next 20 % validate, the rest test."""
-    counts = dataset.groupBy(label).agg(F.count("*").alias("n"))
+    counts = materialize(dataset.groupBy(label).agg(F.count("*").alias("n")))  # one row per label, NULL is one
 
     def cut(percent, name):
         quota = F.floor(F.col("n") * percent / 100).cast("bigint")
         cutoffs = hash_cutoffs(dataset, keys, counts.select(label, quota.alias("quota")), [label], seed)
         return cutoffs.select(label, F.col("cutoff").alias(name))
 
-    cuts = cut(percents[0], "_train").join(cut(sum(percents), "_valid"), label)
+    cuts = join_groups(cut(percents[0], "_train"), cut(sum(percents), "_valid"), [label])
     digest = hash_order(keys, seed)
-    joined = dataset.join(F.broadcast(cuts), label)  # one row per label
+    joined = join_groups(dataset, cuts, [label])
     split = F.when(digest <= F.col("_train"), "train").when(digest <= F.col("_valid"), "valid").otherwise("test")
     return joined.select(*dataset.columns, split.alias("split"))
 
 
 def class_weights(dataset: DataFrame, label: str = "label") -> DataFrame:
-    """(class, class_weight) with weight n / (classes * n_class)."""
-    counts = dataset.groupBy(F.col(label).alias("class")).agg(F.count("*").alias("n"))
-    total = dataset.select(F.count("*")).scalar()
+    """(class, class_weight) with weight n / (classes * n_class); NULL is no class."""
+    counts = dataset.filter(F.col(label).isNotNull()).groupBy(F.col(label).alias("class")).agg(F.count("*").alias("n"))
+    total = counts.select(F.sum("n")).scalar()
     classes = counts.select(F.count("*")).scalar()
     return counts.select("class", ratio_or_null(total, classes * F.col("n")).alias("class_weight"))
 
@@ -134,9 +136,9 @@ def label_correlation(dataset: DataFrame, columns: Sequence[str], label: str = "
 
 def feature_importance_rf(
     dataset: DataFrame, columns: Sequence[str], label: str = "label",
-    trees: int = 100, depth: int = 10, seed: int = K.SEED,
+    trees: int = 100, depth: int = 30, seed: int = K.SEED,
 ) -> DataFrame:
-    """(feature, importance) of a random forest, highest first."""
+    """(feature, importance) of a random forest, highest first; trees grow to Spark's limit of 30 levels."""
     vectors = VectorAssembler(inputCols=list(columns), outputCol="features").transform(dataset)
     forest = RandomForestClassifier(
         numTrees=trees, maxDepth=depth, seed=seed, labelCol=label, featuresCol="features")

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from ..functions import constants as K
 from ..functions.columns import clip, ratio_or_null
 from ..functions.draws import hash_cutoffs, hash_order
+from ..functions.groups import join_groups
 from ..functions.ordering import exact_quantiles, percent_rank_avg, right_closed_bin
 
 CONTROL, TREATMENT = "control", "treatment"
@@ -72,7 +73,7 @@ def stratified_assignment(targets: DataFrame, test_ratio: float = K.TEST_RATIO,
     quotas = strata.groupBy("score_stratum").agg(F.count("*").alias("n")).select(
         "score_stratum", wanted.cast("bigint").alias("quota"))
     cutoffs = hash_cutoffs(strata, ["experiment_unit_id"], quotas, ["score_stratum"], seed)
-    joined = strata.join(F.broadcast(cutoffs.drop("quota")), "score_stratum")  # at most 10 rows
+    joined = join_groups(strata, cutoffs.drop("quota"), ["score_stratum"])  # at most 10 strata and one of units without a score
     treated = hash_order(["experiment_unit_id"], seed) <= F.col("cutoff")
     return joined.select(*targets.columns, "score_stratum", F.when(treated, TREATMENT).otherwise(CONTROL).alias("ab_group"))
 

@@ -11,11 +11,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.draws import sample_exact
-from ..functions.ordering import exact_quantiles
+from ..functions.ordering import exact_quantiles, global_rank
 from ..session import materialize
 from .classifiers import score
-from .joins import hot_key_join
+from .joins import heavy_of, hot_key_join
 from .metrics import evaluate_binary
 
 
@@ -38,23 +37,22 @@ def stacking_weights(model: PipelineModel, spark) -> DataFrame:
 
 def tree_model_importance(
     model: PipelineModel, test: DataFrame, features: Sequence[str], key: str = "user_id",
-    label: str = "label", sample_size: int = 1000, seed: int = K.SEED,
+    label: str = "label", seed: int = K.SEED,
 ) -> DataFrame:
-    """(feature, importance): loss of AUC when the feature's values are exchanged among rows.
+    """(feature, importance): loss of AUC when the feature's values are exchanged among all rows.
 
-    Like the explained sample of the feature itself, it reads at most ``sample_size`` rows, so
-    the two orders that define the exchange are windows over a bounded table. All exchanged
-    copies are scored in one pass.
+    Rows are numbered by key, and the values of each feature by a hash, in ranges without a one-task window; equal numbers meet.
+    All exchanged copies are scored in one pass.
     """
     features = list(features)
-    rows = materialize(sample_exact(test, sample_size, [key], seed).select(key, label, *features))
-    place = rows.withColumn("_at", F.row_number().over(Window.orderBy(key)))
-    exchanged = place.withColumn("feature", F.lit("")).select(key, label, "feature", *features)
-    for f in features:
-        order = Window.orderBy(F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(f), F.lit(str(seed)))))
-        donors = rows.select(F.col(f).alias("_value"), F.row_number().over(order).alias("_at"))
-        mixed = place.join(donors, "_at").withColumn(f, F.col("_value")).withColumn("feature", F.lit(f))
-        exchanged = exchanged.unionByName(mixed.select(*exchanged.columns))
+    rows = materialize(test.select(key, label, *[F.col(f).cast("double").alias(f) for f in features]))
+    place = materialize(global_rank(rows, [key], name="_at"))
+    values = rows.select(key, *features).unpivot(key, features, "feature", "_value")
+    drawn = values.select("feature", "_value", F.md5(F.concat_ws("|", F.col(key).cast("string"), "feature", F.lit(str(seed)))).alias("_h"))
+    donors = global_rank(drawn, ["_h"], ["feature"], name="_at").select("feature", "_value", "_at")
+    mixed = place.join(donors, "_at").withColumns({f: F.when(F.col("feature") == f, F.col("_value")).otherwise(F.col(f)) for f in features})
+    columns = [label, "feature", *features]
+    exchanged = rows.withColumn("feature", F.lit("")).select(*columns).unionByName(mixed.select(*columns))
     scored = score(model, exchanged, ["feature", label])
     aucs = evaluate_binary(scored, label, by=["feature"]).select("feature", "auc")
     base = aucs.filter(F.col("feature") == "").select("auc").scalar()
@@ -71,16 +69,15 @@ def split_importance(model: PipelineModel, features: Sequence[str], spark) -> Da
 
 def surrogate_importance(
     table: DataFrame, features: Sequence[str], probability: str, key: str = "user_id",
-    sample_size: int = 1000, trees: int = 150, depth: int = 8, leaf: int = 5, seed: int = K.SEED,
+    trees: int = 150, depth: int = 8, leaf: int = 5, seed: int = K.SEED,
 ) -> DataFrame:
-    """(feature, importance) of a forest that imitates another model's probability."""
+    """(feature, importance) of a forest that imitates another model's probability on all rows."""
     if len(features) < 2:
         raise ValueError("a surrogate needs at least 2 features")
-    known = table.select(key, probability, *features).na.drop()
-    sample = materialize(sample_exact(known, sample_size, [key], seed))
-    if sample.count() < 20:
+    known = materialize(table.select(key, probability, *features).na.drop())
+    if known.count() < 20:
         raise ValueError("a surrogate needs at least 20 rows")
-    vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(sample)
+    vectors = VectorAssembler(inputCols=list(features), outputCol="features").transform(known)
     forest = RandomForestRegressor(
         numTrees=trees, maxDepth=depth, minInstancesPerNode=leaf, seed=seed, labelCol=probability, featuresCol="features")
     values = forest.fit(vectors.select("features", probability)).featureImportances.toArray()
@@ -122,8 +119,8 @@ def cold_start_flag(predictions: DataFrame, threshold: int = 3, activity: str |
     if activity is not None:
         flag = F.col(activity).try_cast("double") <= threshold
         return predictions.withColumn("cold_start_user", F.coalesce(flag, F.lit(False)))
-    counts = predictions.groupBy("user_id").agg(F.count("*").alias("_n"))
-    joined = hot_key_join(predictions, counts, "user_id")
+    counts = materialize(predictions.groupBy("user_id").agg(F.count("*").alias("_n")))
+    joined = hot_key_join(predictions, counts, "user_id", hot=heavy_of(counts, "user_id"))
     return joined.withColumn("cold_start_user", F.coalesce(F.col("_n") <= threshold, F.lit(False))).drop("_n")
 
 
@@ -133,9 +130,9 @@ def long_tail_flag(predictions: DataFrame, quantile: float = 0.2, popularity: st
         valued = predictions.withColumn("_n", F.col(popularity).try_cast("double"))
         limit = exact_quantiles(valued, "_n", {"q": quantile}).scalar()
     else:
-        counts = predictions.groupBy("item_id").agg(F.count("*").alias("_n"))
+        counts = materialize(predictions.groupBy("item_id").agg(F.count("*").alias("_n")))
         limit = exact_quantiles(counts, "_n", {"q": quantile}).scalar()
-        valued = hot_key_join(predictions, counts, "item_id")
+        valued = hot_key_join(predictions, counts, "item_id", hot=heavy_of(counts, "item_id"))
     return valued.withColumn("long_tail_item", F.coalesce(F.col("_n") <= limit, F.lit(False))).drop("_n")
 
 

@@ -1,43 +1,67 @@
-"""Joins. Everything is an equi join; heavy keys are salted instead of meeting in one task."""
+"""Joins. Everything is an equi join; heavy keys don't meet in one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_HOT = 1_000  # a key with more than a thousandth of all rows is always among the top 1,000
+from ..functions.groups import BROADCAST_ROWS
+from ..session import materialize
+
 HOT_ROWS = 1_000_000  # below this many rows no key is worth splitting
-SALTS = 64
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> list:
-    """Values of the heaviest keys: at most ``MAX_HOT``, each with more than ``min_rows`` rows.
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
+    """(key) of the heavy keys. One pass over the key column; counts are combined map-side. NULL can be a hot key."""
+    return heavy_of(materialize(df.groupBy(key).agg(F.count("*").alias("_n"))), key, min_rows)
+
+
+def heavy_of(counts: DataFrame, key: str, min_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys of ``counts`` (key, _n) with more than ``min_rows`` rows and, if these are many, more than an average partition.
+
+    So there are at most as many as shuffle partitions, whatever the size of the data; they stay a table.
+    """
+    heavy = counts.filter(F.col("_n") > min_rows)
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if heavy.count() > parts:
+        total = counts.agg(F.sum("_n")).first()[0]
+        heavy = heavy.filter(F.col("_n") * parts > total)
+    return heavy.select(key)
+
+
+def with_keys(df: DataFrame, keys: DataFrame, key: str, how: str) -> DataFrame:
+    """Rows of ``df`` whose key is (``left_semi``) or isn't (``left_anti``) in ``keys``; NULL equals NULL.
 
-    One pass over the key column; counts are combined map-side. NULL can be a hot key.
+    ``keys`` comes from ``hot_keys``: one row for each partition at most.
     """
-    counts = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > min_rows)
-    return [r[key] for r in counts.orderBy(F.desc("_n"), key).limit(MAX_HOT).collect()]
+    named = F.broadcast(keys.withColumnRenamed(key, "_key"))
+    return df.join(named, F.col(key).eqNullSafe(F.col("_key")), how)
 
 
 def hot_key_join(
-    big: DataFrame, side: DataFrame, key: str, how: str = "left", min_rows: int = HOT_ROWS, hot: list | None = None,
+    big: DataFrame, side: DataFrame, key: str, how: str = "left", min_rows: int = HOT_ROWS, hot: DataFrame | None = None,
 ) -> DataFrame:
     """Join a fact-sized table to a smaller side on one key.
 
-    Without hot keys this is the plain join. Rows of a hot key are spread over ``SALTS`` parts
-    by a hash of the row (the same after a retry), and the side's rows of hot keys are repeated
-    per part; every other row moves once, as in the plain join.
+    Without hot keys this is the plain join. Rows of hot keys stay where they are and meet the side's rows of those keys in a
+    broadcast, if these are few by count (with one row per key they are at most as many as partitions); every other row moves
+    once, as in the plain join. Where the side has more rows for hot keys, the plain join is left to AQE's skew handling.
     """
     if hot is None:
         hot = hot_keys(big, key, min_rows)
-    if not hot:
+    if hot.isEmpty():
+        return big.join(side, key, how)
+    few = materialize(with_keys(side, hot, key, "left_semi"))
+    if few.count() > BROADCAST_ROWS:
         return big.join(side, key, how)
-    known = [v for v in hot if v is not None]
-    is_hot = F.coalesce(F.col(key).isin(known), F.lit(None in hot))  # NULL keys match nothing, but must spread too
-    part = F.when(is_hot, F.pmod(F.xxhash64(*big.columns), F.lit(SALTS)).cast("int")).otherwise(0)
-    parts = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    spread = side.withColumn("_salt", F.explode(parts))
-    return big.withColumn("_salt", part).join(spread, [key, "_salt"], how).drop("_salt")
+    rest = with_keys(big, hot, key, "left_anti").join(side, key, how)
+    heavy = with_keys(big, hot, key, "left_semi").join(F.broadcast(few), key, how)
+    return rest.unionByName(heavy)
+
+
+def small_side_join(df: DataFrame, side: DataFrame, on, how: str = "left") -> DataFrame:
+    """Join to a lookup table: broadcast if it is small by count, so a table of few keys never moves the fact."""
+    return df.join(F.broadcast(side) if side.count() <= BROADCAST_ROWS else side, on, how)
 
 
 def left_join_user(first: DataFrame, *others: DataFrame) -> DataFrame:
@@ -55,10 +79,9 @@ def left_join_item(items: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 def left_join_category(items: DataFrame, categories: DataFrame) -> DataFrame:
-    """Category facts for items; a NULL category matches a NULL category. AQE broadcasts the
-    category side when its measured size allows it."""
+    """Category facts for items; a NULL category matches a NULL category."""
     right = categories.withColumnRenamed("item_category", "_category")
-    return items.join(right, F.col("item_category").eqNullSafe(F.col("_category")), "left").drop("_category")
+    return small_side_join(items, right, F.col("item_category").eqNullSafe(F.col("_category"))).drop("_category")
 
 
 def total_by_group_join(counts: DataFrame, group: str, value: str, total: str) -> DataFrame:
@@ -107,7 +130,7 @@ def attach_features(predictions: DataFrame, features: DataFrame, key: str) -> Da
 def lookup_join(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
     """Dictionary lookup as a join; NULL keys find the NULL entry."""
     right = table.withColumnRenamed(key, "_key")
-    return df.join(right, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
+    return small_side_join(df, right, F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
 
 
 def union_frames(*frames: DataFrame) -> DataFrame:

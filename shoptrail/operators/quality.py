@@ -98,15 +98,10 @@ def missing_rate(df: DataFrame) -> DataFrame:
     return _as_rows(rates, "column", "missing_rate").orderBy(F.desc("missing_rate"), "column")
 
 
-def unique_count(df: DataFrame, approximate_above: int | None = None) -> DataFrame:
-    """(column, unique_count), NULL counted as a value, lowest first.
-
-    ``approximate_above``: from that many rows on, counts come from HyperLogLog sketches.
-    """
-    approximate = approximate_above is not None and df.count() > approximate_above
-    distinct = F.approx_count_distinct if approximate else F.count_distinct
+def unique_count(df: DataFrame) -> DataFrame:
+    """(column, unique_count), NULL counted as a value, lowest first."""
     counts = df.agg(*[
-        (distinct(F.col(c)) + F.coalesce(F.max(F.col(c).isNull().cast("bigint")), F.lit(0))).alias(c)
+        (F.count_distinct(F.col(c)) + F.coalesce(F.max(F.col(c).isNull().cast("bigint")), F.lit(0))).alias(c)
         for c in df.columns
     ])
     return _as_rows(counts, "column", "unique_count").orderBy("unique_count", "column")

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio_or_null, seconds_between
-from .joins import HOT_ROWS, hot_keys
+from ..session import materialize
+from .joins import HOT_ROWS, hot_keys, with_keys
 
 EVENT_ORDER = ("time", "item_id", "behavior_type")
 
@@ -16,34 +17,35 @@ EVENT_ORDER = ("time", "item_id", "behavior_type")
 def previous_event(events: DataFrame, min_rows: int = HOT_ROWS) -> DataFrame:
     """Adds ``previous_time`` and ``previous_behavior_type`` of the user's event before.
 
-    Events are ordered by (time, item, behaviour). Hot users are cut into one-minute slices, so
-    the sort of such a user spreads over many tasks; the first event of a slice takes the last
-    event of the slice before it. That step sees one row per slice, and its join keeps the
-    partitioning of the window, so the events still shuffle once.
+    Events are ordered by (time, item, behaviour). Events of hot users, NULL among them, are dealt into ranges of that order, so
+    the sort of such a user spreads over as many tasks as it needs, equal rows too; the first event of a range takes the last one
+    of the ranges before it. That step sees one row for each range and user. Everyone else is sorted in one window.
     """
-    hot = [user for user in hot_keys(events, "user_id", min_rows) if user is not None]
+    hot = hot_keys(events, "user_id", min_rows)
     previous = F.struct("time", "behavior_type")
-    if not hot:
-        lagged = events.withColumn("_previous", F.lag(previous).over(Window.partitionBy("user_id").orderBy(*EVENT_ORDER)))
-        found = F.col("_previous")
-        return lagged.select(
-            *events.columns, found["time"].alias("previous_time"), found["behavior_type"].alias("previous_behavior_type"))
-    minute = F.timestamp_diff("MINUTE", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col("time"))
-    is_hot = F.coalesce(F.col("user_id").isin(hot), F.lit(False))
-    sliced = events.withColumn("_slice", F.when(is_hot, minute).otherwise(F.lit(-1).cast("bigint")))
-
-    inside = Window.partitionBy("user_id", "_slice").orderBy(*EVENT_ORDER)
-    lagged = sliced.withColumn("_previous", F.lag(previous).over(inside))
-    ends = sliced.filter(is_hot).groupBy("user_id", "_slice").agg(F.max(F.struct(*EVENT_ORDER)).alias("_end"))
-    across = Window.partitionBy("user_id").orderBy("_slice")
-    carried = ends.select("user_id", "_slice", F.lag("_end").over(across).alias("_carried"))
-
-    joined = lagged.join(carried, ["user_id", "_slice"], "left")
-    return joined.select(
-        *events.columns,
-        F.coalesce("_previous.time", "_carried.time").alias("previous_time"),
-        F.coalesce("_previous.behavior_type", "_carried.behavior_type").alias("previous_behavior_type"),
-    )
+    found = F.col("_previous")
+    out = [*events.columns, found["time"].alias("previous_time"), found["behavior_type"].alias("previous_behavior_type")]
+
+    def plain(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("_previous", F.lag(previous).over(Window.partitionBy("user_id").orderBy(*EVENT_ORDER)))
+
+    if hot.isEmpty():
+        return plain(events).select(*out)
+    heavy = with_keys(events, hot, "user_id", "left_semi").withColumn("_tie", F.monotonically_increasing_id())
+    order = ["user_id", *EVENT_ORDER, "_tie"]
+    ranges = materialize(heavy.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    inside = Window.partitionBy("user_id", "_range").orderBy(*EVENT_ORDER, "_tie")
+    lagged = ranges.withColumns({"_previous": F.lag(previous).over(inside), "_first": F.row_number().over(inside) == 1})
+    ends = ranges.groupBy("user_id", "_range").agg(F.max(F.struct(*EVENT_ORDER, "_tie")).alias("_end"))
+    across = Window.partitionBy("user_id").orderBy("_range")
+    last = F.lag("_end").over(across)
+    carried = ends.select(
+        F.col("user_id").alias("_user"), F.col("_range").alias("_at"),
+        F.when(last.isNotNull(), F.struct(last["time"].alias("time"), last["behavior_type"].alias("behavior_type"))).alias("_carried"))
+    # one row for each range and hot user: at most twice the number of partitions
+    joined = lagged.join(F.broadcast(carried), F.col("user_id").eqNullSafe(F.col("_user")) & (F.col("_range") == F.col("_at")), "left")
+    joined = joined.withColumn("_previous", F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_previous")))
+    return plain(with_keys(events, hot, "user_id", "left_anti")).select(*out).unionByName(joined.select(*out))
 
 
 def same_behavior_as_previous(events: DataFrame, **split) -> DataFrame:

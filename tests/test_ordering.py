@@ -83,3 +83,35 @@ def test_draw_does_not_depend_on_layout(numbers):
     one = {r["id"] for r in draws.sample_exact(df.repartition(1), 50, ["id"]).collect()}
     many = {r["id"] for r in draws.sample_exact(df.repartition(9, "v"), 50, ["id"]).collect()}
     assert one == many
+
+
+def test_draws_on_repeated_keys_and_null_groups(spark):
+    rows = [(i % 4, i, None if i % 5 == 0 else i % 2) for i in range(100)] + [(1, 1, 1)] * 30
+    df = spark.createDataFrame(rows, "id long, v long, g long")
+    assert draws.sample_exact(df, 37, ["id"]).count() == 37
+    assert draws.sample_exact(df, 37, ["id"]).exceptAll(draws.sample_exact(df.repartition(5), 37, ["id"])).count() == 0
+    quotas = df.groupBy("g").count().select("g", F.lit(7).cast("bigint").alias("quota"))
+    drawn = draws.take_by_hash(df, ["id"], quotas, ["g"])
+    assert {r["g"]: r["count"] for r in drawn.groupBy("g").count().collect()} == {None: 7, 0: 7, 1: 7}
+
+
+def test_prefixes_grow_until_the_slot_is_small(spark, monkeypatch):
+    df = spark.range(2000).withColumn("v", F.lit(1))
+    want = {r["id"] for r in draws.sample_exact(df, 333, ["id"]).collect()}
+    monkeypatch.setattr(draws, "_SLOT_ROWS", 0)
+    assert {r["id"] for r in draws.sample_exact(df, 333, ["id"]).collect()} == want
+
+
+def test_null_groups_stay(spark):
+    from shoptrail.operators.dataset import class_weights, stratified_split, undersample_balanced
+    from shoptrail.operators.metrics import evaluate_binary
+
+    rows = [(i, None if i % 10 == 0 else i % 2, None if i % 3 == 0 else "g", i / 100) for i in range(100)]
+    df = spark.createDataFrame(rows, "user_id long, label int, g string, probability double")
+    known = df.filter("label is not null")
+    counts = evaluate_binary(known, by=["g"]).collect()
+    assert sum(r["sample_count"] for r in counts) == known.count() and len(counts) == 2
+    assert stratified_split(df).count() == 100
+    balanced = {r["label"]: r["count"] for r in undersample_balanced(df).groupBy("label").count().collect()}
+    assert balanced == {0: 40, 1: 40}
+    assert {r["class"] for r in class_weights(df).collect()} == {0, 1}

@@ -7,8 +7,9 @@ from shoptrail.operators.dataset import smote_oversample
 
 
 def test_hot_keys_are_found(skewed):
-    assert joins.hot_keys(skewed, "user_id", min_rows=500) == [1]
-    assert joins.hot_keys(skewed, "user_id") == []
+    assert [r[0] for r in joins.hot_keys(skewed, "user_id", min_rows=500).collect()] == [1]
+    assert joins.hot_keys(skewed, "user_id").isEmpty()
+    assert joins.hot_keys(skewed, "user_id", min_rows=0).count() <= 4  # partitions
 
 
 def test_salted_join_equals_join(spark, skewed):
@@ -22,7 +23,7 @@ def test_salted_join_equals_join(spark, skewed):
 def test_null_keys_spread_and_stay(spark, skewed):
     big = skewed.withColumn("user_id", F.when(F.col("user_id") != 1, F.col("user_id")))
     side = skewed.select("user_id").distinct().withColumn("n", F.lit(1))
-    assert joins.hot_keys(big, "user_id", min_rows=500) == [None]
+    assert [r[0] for r in joins.hot_keys(big, "user_id", min_rows=500).collect()] == [None]
     salted = joins.hot_key_join(big, side, "user_id", "left", min_rows=500)
     assert salted.count() == 3000 and salted.filter("n is null").count() == big.filter("user_id is null").count()
 
@@ -40,6 +41,20 @@ def test_sliced_user_equals_whole_user(skewed):
     assert a.exceptAll(b).count() == 0
 
 
+def test_sliced_user_with_null_codes_users_and_day_times(spark, skewed):
+    messy = skewed.withColumns({
+        "behavior_type": F.when(F.col("event_id") % 3 != 0, F.col("behavior_type")),
+        "user_id": F.when(F.col("user_id") != 1, F.col("user_id")),
+        "time": F.date_trunc("day", "time").cast("timestamp_ntz")})
+    messy = messy.unionByName(messy.filter("event_id % 2 = 0"))  # equal rows
+    key = ["user_id", "time", "item_id", "behavior_type", "previous_time", "previous_behavior_type"]
+    plain, sliced = (sequences.previous_event(messy, min_rows=n).select(key) for n in (10**9, 50))
+    assert sliced.count() == messy.count()
+    assert plain.exceptAll(sliced).count() == 0
+    a, b = (sequences.behavior_transition_matrix(messy, min_rows=n) for n in (10**9, 50))
+    assert a.exceptAll(b).count() == 0 and a.count() == b.count()
+
+
 def test_last_n_limits_before_the_shuffle(skewed):
     frame = sequences.last_n_events(skewed, 5)
     plan = frame._jdf.queryExecution().executedPlan().toString()
