@@ -108,7 +108,9 @@ def edited(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """
     from ..session import materialize
 
-    base = df.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    # null keys become a flag, so that joins use plain equality; both joins below read one shuffle of the texts
+    flag = F.col(key).isNull().cast("int")
+    base = df.select(F.col(key).alias("_key"), flag.alias("_null"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     half = F.floor(F.length("_text") / 2).cast("int")
     slim = base.groupBy("_key").agg(F.max(half).alias("_half"), F.min(F.xxhash64("_text")).alias("_stands"))
     order = F.col("_key").desc_nulls_last()
@@ -125,12 +127,18 @@ def edited(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     offsets = df.sparkSession.createDataFrame([(k, v) for k, v in starts.items()], "_range long, _first long")
     ranked = laid.withColumn("_range", F.shiftright("_at", 33)).join(offsets.hint("broadcast"), "_range").select(
         "_key", "_half", "_stands", (F.col("_first") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).alias("_rank"))
+    stand_in = F.lit(0).cast(dict(df.dtypes)[key])
+    plain = lambda c, name: F.coalesce(F.col(c), stand_in).alias(name)
     taker = ranked.select(F.col("_key").alias("_taker"), F.col("_half").alias("_need"), F.pmod(F.col("_rank") + 1, F.lit(max(total, 1))).alias("_rank"))
-    links = ranked.join(taker, "_rank").select(F.col("_key").alias("_link"), "_stands", "_taker", "_need")
-    given = base.join(links, F.col("_key").eqNullSafe(F.col("_link"))).filter(F.xxhash64("_text") == F.col("_stands"))
-    given = given.select("_taker", F.substring("_text", F.lit(1), F.col("_need")).alias("_part"), fingerprint(F.col("_text")).alias("next_fingerprint"))
-    given = given.groupBy("_taker").agg(F.min("_part").alias("_part"), F.min("next_fingerprint").alias("next_fingerprint"))
-    joined = base.join(given, F.col("_key").eqNullSafe(F.col("_taker")))
+    links = ranked.join(taker, "_rank").select(
+        plain("_key", "_k"), F.col("_key").isNull().cast("int").alias("_null"), "_stands",
+        plain("_taker", "_tk"), F.col("_taker").isNull().cast("int").alias("_tnull"), "_need")
+    laid_texts = base.select(plain("_key", "_k"), "_null", "_text").repartition("_k", "_null")
+    given = laid_texts.join(links, ["_k", "_null"]).filter(F.xxhash64("_text").bitwiseXOR(F.col("_stands")) == 0)  # not a join key
+    given = given.select("_tk", "_tnull", F.substring("_text", F.lit(1), F.col("_need")).alias("_part"), fingerprint(F.col("_text")).alias("next_fingerprint"))
+    given = given.groupBy(F.col("_tk").alias("_k"), F.col("_tnull").alias("_null")).agg(
+        F.min("_part").alias("_part"), F.min("next_fingerprint").alias("next_fingerprint"))
+    joined = laid_texts.join(given, ["_k", "_null"]).withColumn("_key", F.when(F.col("_null") == 0, F.col("_k")))
     kept = F.length("_text") - half
     made = F.concat(F.substring("_text", F.lit(1), kept), F.substring("_part", F.lit(1), half))
     return joined.select(
