@@ -6,6 +6,8 @@ such a dict. Only what later stages read many times is fixed with a checkpoint.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +15,10 @@ from ..functions import constants as K
 from ..functions.columns import events_between
 from ..operators import activity, business, classifiers, cleaning, dataset, experiment, explain, explore
 from ..operators import interaction, interest, marts, quality, rhythm, samples, sequences, stacking, tuning, wide
-from ..operators.contracts import require_columns, require_non_empty
-from ..session import materialize
+from ..operators.contracts import require_columns, require_non_empty, require_same_features
+from ..operators.joins import attach_features, union_optional
+from ..operators.metrics import classification_report, confusion_matrix, roc_auc
+from ..session import materialize, stored
 from ..sources import tables as io
 
 
@@ -54,9 +58,14 @@ def run_build_feature_table(events: DataFrame) -> dict:
 
 
 def run_data_pipeline(events: DataFrame) -> dict:
-    """Cleaned events (fixed once: everything later reads them), quality report and marts."""
+    """Cleaned events, quality report and marts.
+
+    Everything later reads the cleaned events, so they are written once as parquet, dealt and sorted by time: later stages read
+    only their columns, and filters on time skip row groups by their statistics.
+    """
     cleaned = run_clean_data(events)
-    cleaned["cleaned"] = materialize(cleaned["cleaned"])
+    order = ["time", "user_id", "item_id"]
+    cleaned["cleaned"] = stored(cleaned["cleaned"].repartitionByRange(*order).sortWithinPartitions(*order))
     return {**cleaned, **run_build_feature_table(cleaned["cleaned"])}
 
 
@@ -174,24 +183,34 @@ def _splits(final: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def _model_stage(name: str, fit, search, final: DataFrame, features, trials: int, fit_options: dict, search_options: dict) -> dict:
-    """Baseline, search, and metrics of both; the better model scores the test rows."""
+    """Baseline, search, and metrics, report and confusion matrix of each part.
+
+    The model with the larger AUC on the validation rows scores the test rows, the baseline at a tie.
+    """
     train, valid, test = _splits(final)
     train, valid, test = cleaning.impute_train_median([train, valid, test], features)
     baseline = fit(train, features, **fit_options)
-    parts = {"Validation": classifiers.score(baseline, valid)}
-    best, trial_table = baseline, None
+    parts = {"Validation": materialize(classifiers.score(baseline, valid))}
+    best, found = baseline, None
     if trials:
         found = search(train, valid, features, trials=trials, **search_options)
-        best, trial_table = found.best_model, found.trials
-        parts["Tuned validation"] = classifiers.score(best, valid)
-    predictions = materialize(classifiers.score(best, test))
-    parts["Test"] = predictions
+        parts["Tuned validation"] = materialize(classifiers.score(found.best_model, valid))
+        if roc_auc(parts["Tuned validation"]) > roc_auc(parts["Validation"]):
+            best = found.best_model
+    parts["Test"] = materialize(classifiers.score(best, test))
+
+    def of_parts(table):
+        return functools.reduce(DataFrame.unionByName, [table(rows).withColumn("dataset", F.lit(part)) for part, rows in parts.items()])
+
     result = {
-        "model": best, "predictions": predictions, "metrics": stacking.metrics_table(name, parts),
+        "model": best, "predictions": parts["Test"], "test": test, "metrics": stacking.metrics_table(name, parts),
+        "classification_report": of_parts(classification_report), "confusion_matrix": of_parts(confusion_matrix),
         "importance": (explain.logistic_coefficients(best, features, final.sparkSession) if name == "Logistic Regression"
                        else explain.split_importance(best, features, final.sparkSession))}
-    if trial_table is not None:
-        result["trials"] = trial_table
+    if found is not None:
+        result["trials"] = found.trials
+        result["best_params"] = final.sparkSession.createDataFrame(
+            [(name, k, str(v)) for k, v in sorted(found.best_params.items())], "model string, parameter string, value string")
     return result
 
 
@@ -222,10 +241,11 @@ def run_model_comparison(models: dict) -> DataFrame:
     return stacking.model_comparison({titles.get(k, k): m["metrics"] for k, m in models.items()})
 
 
-def run_deep_learning_models(events: DataFrame, tree_options=None, svd_options=None, **windows) -> dict:
+def run_deep_learning_models(events: DataFrame, tree_options=None, svd_options=None, models: dict | None = None, **windows) -> dict:
     """Sequence samples, interest features on item factors, and pair predictions.
 
-    Item factors come from events before the training cutoff only.
+    Item factors come from events before the training cutoff only. With the results of ``run_traditional_models`` their metrics
+    stand beside these in ``comparison``.
     """
     spans = {k: windows[k] for k in ("history_days", "label_days") if k in windows}
     cutoff = samples.choose_cutoffs(events, **spans).select("train_cutoff").scalar()
@@ -236,10 +256,28 @@ def run_deep_learning_models(events: DataFrame, tree_options=None, svd_options=N
     model = interest.train_interest_model(ready, **(tree_options or {}))
     scored = materialize(interest.score_interest(model, ready))
     valid = interest.score_interest(model, ready, "val")
-    return {
+    result = {
         "samples": ready, "model": model, "predictions": scored,
         "history": classifiers.training_history(model, ready.filter(F.col("split") == "val")),
         "metrics": stacking.metrics_table("Interest", {"Validation": valid, "Test": scored})}
+    if models:
+        result["comparison"] = union_optional(result["metrics"], *[m["metrics"] for m in models.values()])
+    return result
+
+
+def run_explanation(models: dict, features, key: str = "user_id") -> dict:
+    """Coefficients, loss of AUC by exchange and a surrogate of the second tree model, and the features they agree on."""
+    logistic, xgboost, lightgbm = (models[m] for m in ("logistic", "xgboost", "lightgbm"))
+    require_same_features(logistic["test"].select(*features), xgboost["test"].select(*features))
+    coefficients = explain.logistic_coefficients(logistic["model"], features, logistic["test"].sparkSession)
+    trees = explain.tree_model_importance(xgboost["model"], xgboost["test"], features, key)
+    imitated = attach_features(lightgbm["predictions"].drop("label", "prediction"), lightgbm["test"].drop("label"), key)
+    result = {"logistic_coefficients": coefficients, "tree_importance": materialize(trees)}
+    sources = {"Logistic Regression": coefficients.withColumnRenamed("absolute_coefficient", "importance"), "XGBoost": result["tree_importance"]}
+    if len(features) >= 2 and imitated.na.drop().limit(20).count() == 20:
+        result["surrogate_importance"] = sources["LightGBM"] = explain.surrogate_importance(imitated, features, "probability", key)
+    result["core_features"] = explain.core_features(sources)
+    return result
 
 
 def run_model_fusion(
@@ -248,7 +286,8 @@ def run_model_fusion(
 ) -> dict:
     """Stacked probabilities, their weights, comparison and error analysis.
 
-    The inputs are prediction tables per user; pair predictions go through ``to_user_level``.
+    The base predictions meet per user; ``din`` may hold (user, item) pairs, which then carry the user's stacked probability into
+    the scenarios and ``pairs``, so that cold users and long-tail items can be told apart.
     """
     merged = stacking.align_predictions(
         stacking.standardize_predictions(logistic, "logistic"),
@@ -256,11 +295,14 @@ def run_model_fusion(
         stacking.to_user_level(stacking.standardize_predictions(din, "din"), "din_prob"))
     stack = stacking.stack_models(merged)
     test = materialize(stack.test)
-    table = explain.cold_start_flag(test, activity=user_activity) if features is None else explain.cold_start_flag(
-        test.join(features.drop("label"), "user_id", "left"), activity=user_activity)
-    flagged = table if "long_tail_item" in table.columns else table.withColumn("long_tail_item", F.lit(False))
+    columns = [c for c in ("item_id", "item_category", "price") if c in din.columns]
+    pairs = test if not columns else attach_features(din.select("user_id", *columns), test, "user_id").filter(F.col("stacking_prob").isNotNull())
+    table = pairs if features is None else attach_features(pairs, features.drop("label"), "user_id")
+    flagged = explain.cold_start_flag(table, activity=user_activity)
+    flagged = explain.long_tail_flag(flagged) if "item_id" in columns else flagged.withColumn("long_tail_item", F.lit(False))
+    flagged = materialize(flagged)
     result = {
-        "merged": merged, "model": stack.model, "train": stack.train, "test": test,
+        "merged": merged, "model": stack.model, "train": stack.train, "test": test, "pairs": flagged,
         "weights": explain.stacking_weights(stack.model, merged.sparkSession),
         "comparison": stacking.rank_models(stacking.compare_base_and_stacking(test)),
         "errors": explain.error_samples(flagged), "scenarios": explain.scenario_metrics(flagged)}
@@ -280,8 +322,9 @@ def run_business_ab_test(predictions: DataFrame, score: str = "stacking_prob", *
         "units": units, "assignment": assigned, "sizes": sizes, "group_metrics": metrics,
         "effect_summary": experiment.effect_summary(metrics, sizes),
         "score_segments": experiment.score_segment_analysis(assigned)}
-    if "item_category" in assigned.columns:
-        result["category_recommendations"] = experiment.category_recommendations(assigned)
+    # without categories, all units form one
+    named = assigned if "item_category" in assigned.columns else assigned.withColumn("item_category", F.lit(None).cast("int"))
+    result["category_recommendations"] = experiment.category_recommendations(named)
     return result
 
 
@@ -294,9 +337,12 @@ def run_full_pipeline(
     cleaned = data["cleaned"]
     features = run_feature_pipeline(cleaned, label_days, **(feature_options or {}))
     models = run_traditional_models(features["final"], features["features"], trials, tree_options, search_options)
-    interests = run_deep_learning_models(cleaned, tree_options, svd_options, **(windows or {}))
+    explanation = run_explanation(models, features["features"])
+    interests = run_deep_learning_models(cleaned, tree_options, svd_options, models, **(windows or {}))
     fusion = run_model_fusion(
         models["logistic"]["predictions"], models["xgboost"]["predictions"], interests["predictions"],
         features["time_features"].select("user_id", "total_behavior_count"), "total_behavior_count")
-    campaign = run_business_ab_test(fusion["test"])
-    return {"data": data, "features": features, "models": models, "interests": interests, "fusion": fusion, "campaign": campaign}
+    columns = {"item": "item_id", "category": "item_category", "price": "price"}
+    campaign = run_business_ab_test(fusion["pairs"], **{k: c for k, c in columns.items() if c in fusion["pairs"].columns})
+    return {"data": data, "features": features, "models": models, "explanation": explanation, "interests": interests,
+            "fusion": fusion, "campaign": campaign}

@@ -5,6 +5,7 @@ import os
 import pytest
 
 import shoptrail
+from shoptrail.functions import constants as K
 from shoptrail.sources.adapters import dense_events, sparse_events
 
 FOLDER = "/root/testdata/sf0.001"
@@ -37,4 +38,16 @@ def test_everything(spark):
     comparison = shoptrail.run_model_comparison(result["models"]).collect()
     assert sorted(r["Rank"] for r in comparison) == [1, 2, 3]
     assert result["interests"]["samples"].filter("label = 1").count() > 0
+    assert result["interests"]["comparison"].select("Model").distinct().count() == 4
     assert result["fusion"]["merged"].count() > 0
+    for model in result["models"].values():
+        assert model["best_params"].count() > 0
+        assert model["classification_report"].count() == 15 and model["confusion_matrix"].count() == 6
+    names = set(result["features"]["features"])
+    for table in ("logistic_coefficients", "tree_importance", "core_features"):
+        assert {r["feature"] for r in result["explanation"][table].collect()} == names
+    scenarios = {r["scenario"]: r["sample_count"] for r in result["fusion"]["scenarios"].collect()}
+    pairs = result["fusion"]["pairs"]
+    assert pairs.filter("long_tail_item").count() == scenarios[K.SCENARIO_TAIL] > 0
+    assert scenarios[K.SCENARIO_ALL] == pairs.count()
+    assert result["campaign"]["category_recommendations"].filter("category is not null").count() > 0
