@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -159,3 +161,16 @@ def drop_columns_by_pattern(df: DataFrame, patterns=("label", "target", "predict
         name for name, dtype in df.dtypes
         if (dtype in numeric or dtype.startswith("decimal")) and not any(p in name.lower() for p in patterns)
     ]
+
+
+def round_ratio(numerator: Column, denominator: Column, digits: int = 4) -> Column:
+    """Rounded ratio; 0 where it is undefined."""
+    return F.coalesce(F.round(ratio_or_null(numerator, denominator), digits), F.lit(0.0))
+
+
+def cut_fixed(value: Column, edges: Sequence[float], labels: Sequence[str]) -> Column:
+    """Label of the first edge at or above the value; the last label above all edges; NULL counts as above."""
+    level = F.lit(labels[-1])
+    for edge, label in reversed(list(zip(edges, labels))):
+        level = F.when(value <= edge, label).otherwise(level)
+    return level

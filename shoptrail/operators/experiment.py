@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import constants as K
-from ..functions.columns import clip, ratio_or_null
+from ..functions.columns import clip, cut_fixed, ratio_or_null
 from ..functions.draws import hash_cutoffs, hash_order
 from ..functions.groups import join_groups
 from ..functions.ordering import exact_quantiles, percent_rank_avg, right_closed_bin
@@ -197,7 +197,6 @@ def category_recommendations(units: DataFrame, score: str = "score", category: s
     ranked = percent_rank_avg(
         table, {"average_model_score": "_s", "conversion_rate": "_c", "target_users": "_u"}, "category")
     priority = F.col("_s") * 0.5 + F.col("_c") * 0.3 + F.col("_u") * 0.2
-    level = (F.when(F.col("priority_score") <= 0.40, K.PRIORITY_LOW)
-             .when(F.col("priority_score") <= 0.70, K.PRIORITY_MID).otherwise(K.PRIORITY_HIGH))
+    level = cut_fixed(F.col("priority_score"), (0.40, 0.70), (K.PRIORITY_LOW, K.PRIORITY_MID, K.PRIORITY_HIGH))
     scored = ranked.withColumn("priority_score", priority).withColumn("recommendation_priority", level)
     return scored.drop("_s", "_c", "_u").orderBy(F.desc("priority_score"), F.desc("target_users"), "category")

@@ -26,7 +26,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 LABEL_DAYS = 180  # the sparse events span years
-TREES = {"n_estimators": 10}  # rounds in registered model queries; the functions default to 300
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -348,8 +347,7 @@ def normalize_text_key(spark, folder):
 @query
 def round_ratio(spark, folder):
     pairs = marts.user_item_table(dense(spark, folder))
-    share = F.round(C.ratio_or_null(F.col("ui_buy_count"), F.col("ui_pv_count")), 4)
-    return pairs.select("user_id", "item_id", F.coalesce(share, F.lit(0.0)).alias("ratio"))
+    return pairs.select("user_id", "item_id", C.round_ratio(F.col("ui_buy_count"), F.col("ui_pv_count")).alias("ratio"))
 
 
 # ---- joins ------------------------------------------------------------------------------
@@ -459,10 +457,25 @@ def user_item_table(spark, folder):
 
 @query
 def star_schema(spark, folder):
-    """The time dimension; the other tables are covered by publish_star_schema."""
+    """The time dimension; the other tables have queries of their own."""
     return marts.star_schema(sparse(spark, folder))["dim_time"]
 
 
+@query
+def star_users(spark, folder):
+    return marts.star_schema(sparse(spark, folder))["dim_user"]
+
+
+@query
+def star_items(spark, folder):
+    return marts.star_schema(sparse(spark, folder))["dim_item"]
+
+
+@query
+def star_fact(spark, folder):
+    return marts.star_schema(sparse(spark, folder))["fact_user_behavior"].select("time", "user_id", "item_id", "behavior_type")
+
+
 @query
 def total_behavior_count(spark, folder):
     return activity.total_behavior_count(sparse(spark, folder))
@@ -662,8 +675,7 @@ def percent_rank_avg(spark, folder):
 @query
 def cut_fixed(spark, folder):
     rows = predictions(spark, folder).select("user_id", "item_id", F.col("xgboost_prob").alias("score"))
-    level = F.when(F.col("score") <= 0.4, K.PRIORITY_LOW).when(F.col("score") <= 0.7, K.PRIORITY_MID).otherwise(K.PRIORITY_HIGH)
-    return rows.withColumn("level", level)
+    return rows.withColumn("level", C.cut_fixed(F.col("score"), (0.4, 0.7), (K.PRIORITY_LOW, K.PRIORITY_MID, K.PRIORITY_HIGH)))
 
 
 @query
@@ -915,7 +927,7 @@ def feature_importance_rf(spark, folder):
 @query
 def select_top_features(spark, folder):
     rows, columns = model_rows(spark, folder)
-    return dataset.select_top_features(rows, dataset.feature_importance_rf(rows, columns), 10)
+    return dataset.select_top_features(rows, dataset.feature_importance_rf(rows, columns))
 
 
 @query
@@ -933,23 +945,34 @@ def train_logistic(spark, folder):
     return _test_metrics("Logistic Regression", classifiers.train_logistic(_parts(rows)[0], columns), rows)
 
 
+_FITTED: dict = {}
+
+
+def _depthwise(spark, folder, train, columns):
+    """The model of 300 rounds that three queries share, fitted once for each session and folder."""
+    name = (spark.sparkContext.applicationId, folder)
+    if name not in _FITTED:
+        _FITTED[name] = classifiers.train_gbt_depthwise(train, columns)
+    return _FITTED[name]
+
+
 @query
 def train_gbt_depthwise(spark, folder):
     rows, columns = model_rows(spark, folder)
-    return _test_metrics("XGBoost", classifiers.train_gbt_depthwise(_parts(rows)[0], columns, **TREES), rows)
+    return _test_metrics("XGBoost", _depthwise(spark, folder, _parts(rows)[0], columns), rows)
 
 
 @query
 def train_gbt_leaf_limited(spark, folder):
     rows, columns = model_rows(spark, folder)
-    return _test_metrics("LightGBM", classifiers.train_gbt_leaf_limited(_parts(rows)[0], columns, **TREES), rows)
+    return _test_metrics("LightGBM", classifiers.train_gbt_leaf_limited(_parts(rows)[0], columns), rows)
 
 
 @query
 def tune(spark, folder):
     rows, columns = model_rows(spark, folder)
     train, valid, _ = _parts(rows)
-    return tuning.tune_logistic(train, valid, columns, trials=5).trials
+    return tuning.tune_logistic(train, valid, columns).trials
 
 
 @query
@@ -1006,21 +1029,21 @@ def _interest(spark, folder):
     events = materialize(cleaning.dedup_events(dense(spark, folder).drop("event_id")))
     cutoff = samples.choose_cutoffs(events).select("train_cutoff").scalar()
     seen = events.filter(F.col("time") < C.start_of(cutoff))
-    factors = interaction.factorize(seen, k_max=8, iterations=2)
+    factors = interaction.factorize(seen)
     return materialize(interest.interest_features(samples.build_time_split_dataset(events), factors.items))
 
 
 @query
 def sequence_interest_model(spark, folder):
     ready = _interest(spark, folder)
-    return interest.score_interest(interest.train_interest_model(ready, **TREES), ready)
+    return interest.score_interest(interest.train_interest_model(ready), ready)
 
 
 @query
 def training_history(spark, folder):
     rows, columns = model_rows(spark, folder)
     train, valid, _ = _parts(rows)
-    return classifiers.training_history(classifiers.train_gbt_depthwise(train, columns, **TREES), valid)
+    return classifiers.training_history(_depthwise(spark, folder, train, columns), valid)
 
 
 @query
@@ -1049,7 +1072,7 @@ def stacking_weights(spark, folder):
 def tree_model_importance(spark, folder):
     rows, columns = model_rows(spark, folder)
     train, _, test = _parts(rows)
-    return explain.tree_model_importance(classifiers.train_gbt_depthwise(train, columns, **TREES), test, columns)
+    return explain.tree_model_importance(_depthwise(spark, folder, train, columns), test, columns)
 
 
 @query
@@ -1153,7 +1176,7 @@ def effect_summary(spark, folder):
 
 @query
 def experiment_significance(spark, folder):
-    """p value and verdict, which SQL without an error function cannot give."""
+    """p value and verdict; its SQL sums the series of the normal tail."""
     targets, assigned = _assigned(spark, folder)
     sizes = experiment.experiment_days(experiment.required_sample_size(experiment.baseline_rate(assigned)), targets)
     summary = experiment.effect_summary(experiment.group_metrics(assigned, "price"), sizes)
@@ -1168,3 +1191,34 @@ def score_segment_analysis(spark, folder):
 @query
 def category_recommendations(spark, folder):
     return experiment.category_recommendations(_assigned(spark, folder)[1])
+
+
+# ---- contracts and shapes ---------------------------------------------------------------
+
+@query
+def downcast(spark, folder):
+    return cleaning.downcast(dense(spark, folder))
+
+
+@query
+def union_optional(spark, folder):
+    """Users of one report and items of another in one table, missing columns NULL."""
+    events = dense(spark, folder)
+    users = events.groupBy("user_id").agg(F.count("*").alias("n"))
+    items = events.groupBy("item_id").agg(F.count("*").alias("n"), F.max("time").alias("latest"))
+    return joins.union_optional(users.withColumn("item_id", F.lit(None).cast("int")), items)
+
+
+@query
+def require_domain(spark, folder):
+    """Passes its rows on, or refuses them."""
+    from ..operators.contracts import require_domain as check
+
+    rows = predictions(spark, folder).select("user_id", "item_id", "label", F.col("xgboost_prob").alias("score"))
+    return check(rows, ["label"], ["score"], 1)
+
+
+@query
+def drop_columns_by_pattern(spark, folder):
+    rows = predictions(spark, folder)
+    return rows.select(*C.drop_columns_by_pattern(rows, ("label", "prob")))

@@ -452,6 +452,23 @@ ORACLES: dict[str, str] = {
                max(time) as last_behavior_time from sparse group by 1, 2"""),
     "star_schema": _sql(SPARSE, """
         select distinct time, time::date as date, hour(time)::int as hour, (isodow(time) - 1)::int as weekday, month(time)::int as month from sparse"""),
+    "star_users": _sql(SPARSE, "select distinct user_id from sparse"),
+    "star_items": _sql(SPARSE, "select distinct item_id, item_category from sparse"),
+    "star_fact": _sql(SPARSE, "select time, user_id, item_id, behavior_type from sparse"),
+    "downcast": _sql(DENSE, """
+        select * replace (user_id::int as user_id, item_id::int as item_id, item_category::int as item_category, behavior_type::tinyint as behavior_type)
+        from dense"""),
+    "union_optional": _sql(DENSE, """
+        select user_id, null::int as item_id, count(*) as n, null::timestamp as latest from dense group by 1
+        union all select null, item_id, count(*), max(time) from dense group by 2"""),
+    "require_domain": _sql(PRED, "select user_id, item_id, label, xgboost_prob as score from pred", "score"),
+    "drop_columns_by_pattern": _sql(PRED, "select user_id, item_id, item_category, price from pred", "price"),
+    "experiment_significance": _sql(ASSIGNED, """
+        select z_value, p_value, p_value < 0.05 as statistically_significant from (
+          select z_value, 2 * (0.5 - exp(-x * x / 2) / sqrt(2 * pi()) * series) as p_value from (
+            select z_value, abs(z_value) as x, (
+              select sum(exp((2 * k + 1) * ln(greatest(abs(z_value), 1e-300)) - logs)) from (
+                select k, sum(ln(2 * k + 1)) over (order by k) as logs from range(200) as r(k))) as series from z))""", "z_value", "p_value"),
     "total_behavior_count": _sql(SPARSE, "select count(*) as total_behavior_count from sparse"),
     "behavior_count": _sql(SPARSE, "select behavior_type, count(*) as behavior_count from sparse group by 1"),
     "behavior_ratio": _sql(SPARSE, """
