@@ -13,9 +13,14 @@ into the band below too. The rare set that hashes too unevenly to fill its quota
 from all others, so no link is lost.
 
 Signatures that one class has alone drop out in an aggregate. Each other one first proposes its members with its smallest one
-(as many pairs as members); those are verified by exact intersection, and linked classes merge. Only pairs that share a signature
-and are still in different components are verified after that, so a large group of near copies costs about its size. What
-remains quadratic are sets that share a whole segment, of about the same size, and aren't linked: see ``pairs_left``.
+(as many pairs as members); linked classes merge, and signatures within one component are done. Of the others, those with at most
+``GROUP`` classes propose their remaining pairs. The rest come from passages that many documents share: a link that shows in no
+other signature joins two classes of such groups, so these classes alone are indexed again at the next cost level, under few
+large segments and all their one-deletion neighbours, which a shared passage hardly ever fills; what is still together then
+proposes its pairs. No link is lost at any step.
+
+A proposal is checked first on parity sketches: linked sets differ in at most H places, so the exclusive or of their bitmaps has
+at most H bits. What is left is verified on the sets.
 
 Null texts are empty. Repeated rows are equal sets. A class is known by a 64-bit hash of its set. Null keys take part, but name no
 component.
@@ -39,6 +44,8 @@ from .components import components
 SHINGLE = 4
 THRESHOLD = 85
 BROADCAST_IDS = 2_000_000
+GROUP = 32  # classes under one signature whose pairs are proposed at once
+SKETCH_BITS = 1024
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63,
                                0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x2545F4914F6CDD1D)]
 
@@ -113,7 +120,22 @@ def allocate(low: int, high: int, threshold: int) -> tuple[int, int]:
     return chosen
 
 
-def signatures(found: np.ndarray, owner: np.ndarray, rows: int, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+@lru_cache(maxsize=None)
+def allocate_wide(low: int, high: int, threshold: int) -> tuple[int, int]:
+    """As ``allocate`` where lists are so long that only their number counts: the fewest segments, all with one left out."""
+    ends = [(s, most_differences(s, s * 100 // threshold, threshold) + 1) for s in (low, high, high * 100 // threshold)]
+    for segments in range(1, 2 * max(n for _, n in ends) + 2):
+        for s, n in ends:
+            mean = s / segments
+            some, single = 1 - exp(-mean), mean * exp(-mean)
+            if segments * (2 * some - single) - 4 * sqrt(segments * (1 - some + single)) < n:
+                break
+        else:
+            break
+    return segments, segments
+
+
+def signatures(found: np.ndarray, owner: np.ndarray, rows: int, threshold: int = THRESHOLD, wide: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of all rows and their rows; ``found`` is what ``shingles`` gives."""
     size = np.bincount(owner, minlength=rows)
     if not len(found):
@@ -129,17 +151,17 @@ def signatures(found: np.ndarray, owner: np.ndarray, rows: int, threshold: int =
         # sets that can't differ at all from a linked one are equal to it, so they need no search
         chosen = chosen & ((need > 1) | looks_down)
         if chosen.any():
-            parts.append(_emit(found, owner, chosen, bands, need, edges, threshold))
+            parts.append(_emit(found, owner, chosen, bands, need, edges, threshold, wide))
     if not parts:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
 def _emit(found: np.ndarray, owner: np.ndarray, chosen: np.ndarray, bands: np.ndarray, need: np.ndarray, edges: np.ndarray,
-          threshold: int) -> tuple[np.ndarray, np.ndarray]:
+          threshold: int, wide: bool) -> tuple[np.ndarray, np.ndarray]:
     plans = np.zeros((len(edges), 2), np.int64)
     for b in np.unique(bands[chosen]):
-        plans[b] = allocate(int(edges[b]), int(edges[b + 1]) - 1, threshold)
+        plans[b] = (allocate_wide if wide else allocate)(int(edges[b]), int(edges[b + 1]) - 1, threshold)
     kept = chosen[owner]
     found, owner = found[kept], owner[kept]
     segments, double = plans[np.maximum(bands, 0), 0], plans[np.maximum(bands, 0), 1]
@@ -156,7 +178,7 @@ def _emit(found: np.ndarray, owner: np.ndarray, chosen: np.ndarray, bands: np.nd
     before = running - tells
     start = np.maximum.accumulate(np.where(first, np.arange(len(row)), 0))
     used = before - before[start] < need[row]
-    salt = mix(bands.astype(np.uint64) * _ODD[2] + np.uint64(1))
+    salt = mix(bands.astype(np.uint64) * _ODD[2] + np.uint64(2 if wide else 1))
     names = salt[row] + place.astype(np.uint64) * _ODD[3]
     out, rows = [mix(total[used] + mix(names[used]))], [row[used]]
     leave = np.repeat(used & twice, held)
@@ -209,52 +231,120 @@ def set_table(docs: DataFrame, key_type: str) -> DataFrame:
     return _from_text(docs, make, ["_key", "_row"], f"_key {key_type}, _row long, n_shingles long, class long")
 
 
-def signature_table(docs: DataFrame, threshold: int) -> DataFrame:
+def signature_table(docs: DataFrame, threshold: int, wide: bool = False) -> DataFrame:
     """(signature, class) of the sets of ``docs``."""
 
     def make(found, owner, rows):
         names = _class_of(found, owner, rows)[1]
-        signature, row = signatures(found, owner, rows, threshold)
+        signature, row = signatures(found, owner, rows, threshold, wide)
         return np.zeros(0, np.int64), {"signature": pa.array(signature.view(np.int64)), "class": pa.array(names[row].view(np.int64))}
 
     return _from_text(docs, make, [], "signature long, class long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) of classes that are linked; sets come from one document of each class."""
-    names = materialize(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct())
-    standing = sets.join(names, "class").groupBy("class").agg(F.min("_row").alias("_row"))
-    standing = materialize(standing)
-    rows = standing.count()
-    if rows <= BROADCAST_IDS:  # 16 bytes each
+def parity_sketches(found: np.ndarray, owner: np.ndarray, rows: int) -> np.ndarray:
+    """A bitmap of each row as 64-bit numbers: a bit is set where an odd number of its shingles falls."""
+    made = np.zeros((rows, SKETCH_BITS // 64), np.int64)
+    for at in range(0, rows, 1024):  # bounded memory, however short the rows are
+        inside = slice(*np.searchsorted(owner, [at, at + 1024]))
+        n = min(1024, rows - at)
+        place = (owner[inside] - at) * SKETCH_BITS + (found[inside] % np.uint64(SKETCH_BITS)).astype(np.int64)
+        odd = (np.bincount(place, minlength=n * SKETCH_BITS) & 1).astype(np.uint8).reshape(n, SKETCH_BITS)
+        made[at:at + n] = np.packbits(odd, axis=1).view(np.int64)
+    return made
+
+
+def _of_classes(docs: DataFrame, sets: DataFrame, names: DataFrame) -> DataFrame:
+    """(class, _text): one document of each class in ``names``."""
+    standing = materialize(sets.join(names, "class").groupBy("class").agg(F.min("_row").alias("_row")))
+    if standing.count() <= BROADCAST_IDS:  # 16 bytes each
         standing = standing.hint("broadcast")
+    return docs.join(standing, "_row").select("class", "_text")
+
+
+def _both(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:
+    """``pairs`` with the column of a as x and of b as y."""
+    one = pairs.join(values.select(F.col("class").alias("a"), F.col(column).alias("x")), "a")
+    return one.join(values.select(F.col("class").alias("b"), F.col(column).alias("y")), "b")
 
-    def make(found, owner, count):
-        size = np.bincount(owner, minlength=count)
-        offsets = pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32))
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+
+
+def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) of classes that are linked, by size, then by sketches, then by the sets themselves."""
+    sized = _both(pairs, classes, "n_shingles")
+    near = materialize(sized.filter(100 * F.least("x", "y") >= threshold * F.greatest("x", "y")).select(
+        "a", "b", F.floor((100 - threshold) * (F.col("x") + F.col("y")) / (100 + threshold)).alias("most")))
+
+    def sketch(found, owner, count):
+        flat = parity_sketches(found, owner, count)
+        lists = pa.FixedSizeListArray.from_arrays(pa.array(flat.ravel()), flat.shape[1]).cast(pa.list_(pa.int64()))
+        return None, {"sketch": lists}
+
+    def listed(found, owner, count):
+        offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=count))]).astype(np.int32))
         return None, {"shingles": pa.ListArray.from_arrays(offsets, pa.array(found.view(np.int64)))}
 
-    chosen = docs.join(standing, "_row").select("class", "_text")
-    listed = _from_text(chosen, make, ["class"], "class long, shingles array<long>")
-    listed = listed.groupBy("class").agg(F.first("shingles").alias("shingles"))
-    one = pairs.join(listed.select(F.col("class").alias("a"), F.col("shingles").alias("x")), "a")
-    two = one.join(listed.select(F.col("class").alias("b"), F.col("shingles").alias("y")), "b")
+    def of(left: DataFrame, make, column: str) -> DataFrame:
+        made = _from_text(_of_classes(docs, sets, _ends(left)), make, ["class"], f"class long, {column} array<long>")
+        return made.groupBy("class").agg(F.first(column).alias(column))
+
+    bits = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n)
+    likely = materialize(_both(near, of(near, sketch, "sketch"), "sketch").filter(bits <= F.col("most")).select("a", "b"))
     both = F.size(F.array_intersect("x", "y"))
-    return two.filter(100 * both >= threshold * (F.size("x") + F.size("y") - both)).select("a", "b")
+    exact = _both(likely, of(likely, listed, "shingles"), "shingles")
+    return materialize(exact.filter(100 * both >= threshold * (F.size("x") + F.size("y") - both)).select("a", "b"))
 
 
-def pairs_left(shared: DataFrame, sizes: DataFrame, threshold: int) -> DataFrame:
-    """Pairs of classes under one signature that are in different components and alike enough in size.
+def pairs_left(open_: DataFrame) -> DataFrame:
+    """Pairs of classes under one signature that are in different components; ``open_`` has (signature, class, component)."""
+    one = open_.select("signature", F.col("class").alias("a"), F.col("component").alias("ca"))
+    two = open_.select("signature", F.col("class").alias("b"), F.col("component").alias("cb"))
+    return one.join(two, "signature").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b").distinct()
 
-    ``shared`` has (signature, class, component). Signatures whose classes are all in one component drop out first.
-    """
-    open_ = shared.groupBy("signature").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("signature")
-    rows = shared.join(open_, "signature").join(sizes.select("class", "n_shingles"), "class")
-    rows = materialize(rows.select("signature", "class", "component", "n_shingles"))
-    one = rows.select("signature", F.col("class").alias("a"), F.col("component").alias("ca"), F.col("n_shingles").alias("na"))
-    two = rows.select("signature", F.col("class").alias("b"), F.col("component").alias("cb"), F.col("n_shingles").alias("nb"))
-    near = (100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-    return one.join(two, "signature").filter(near).select("a", "b").distinct()
+
+def _open(shared: DataFrame, links: DataFrame) -> DataFrame:
+    """(signature, class, component, n) of the signatures whose classes are in several components; n counts them."""
+    named = components(links)
+    placed = shared.join(named, F.col("class") == F.col("node"), "left").select(
+        "signature", "class", F.coalesce("component", "class").alias("component"))
+    several = placed.groupBy("signature").agg(
+        F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("signature", "n")
+    return materialize(placed.join(several, "signature"))
+
+
+def _shared(found: DataFrame) -> DataFrame:
+    """(signature, class, lo) of the signatures that several classes have; lo is the smallest."""
+    common = found.groupBy("signature").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("signature", "lo")
+    return materialize(found.join(common, "signature").distinct())
+
+
+def _stars(shared: DataFrame) -> DataFrame:
+    return shared.filter("class <> lo").select(F.col("lo").alias("a"), F.col("class").alias("b")).distinct()
+
+
+def all_links(base: DataFrame, sets: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+    """Verified links (a, b) of classes that join every two linked classes, directly or over others."""
+    tried = links = None
+    docs = base
+    for wide in (False, True):
+        shared = _shared(signature_table(docs, threshold, wide))
+        stars = _stars(shared) if tried is None else _stars(shared).join(tried, ["a", "b"], "left_anti")
+        stars = materialize(stars)
+        fresh = verified(stars, base, sets, classes, threshold)
+        tried, links = (stars, fresh) if tried is None else (tried.union(stars), links.union(fresh))
+        open_ = _open(shared, links)
+        few = open_ if wide else open_.filter(F.col("n") <= GROUP)
+        rest = materialize(pairs_left(few).join(tried, ["a", "b"], "left_anti"))
+        links = links.union(verified(rest, base, sets, classes, threshold))
+        tried = tried.union(rest)
+        many = materialize(open_.filter(F.col("n") > GROUP).select("class").distinct())
+        if wide or many.isEmpty():
+            break
+        docs = _of_classes(base, sets, many)
+    return materialize(links)
 
 
 def placed_rows(docs: DataFrame, key: str, text: str, threshold: int) -> DataFrame:
@@ -263,18 +353,7 @@ def placed_rows(docs: DataFrame, key: str, text: str, threshold: int) -> DataFra
     base = base.withColumn("_row", F.xxhash64("_key", "_text"))  # equal rows are equal sets
     sets = materialize(set_table(base, dict(docs.dtypes)[key]))
     classes = materialize(sets.filter("class is not null").groupBy("class").agg(F.min("_key").alias("least"), F.min("n_shingles").alias("n_shingles")))
-    found = signature_table(base, threshold)
-    common = found.groupBy("signature").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("signature", "lo")
-    shared = materialize(found.join(common, "signature").distinct())
-    stars = materialize(shared.filter("class <> lo").select(F.col("class").alias("a"), F.col("lo").alias("b")).distinct())
-    links = materialize(verified(stars, base, sets, threshold))
-    named = components(links)
-    placed = shared.join(named, F.col("class") == F.col("node"), "left").select(
-        "signature", "class", F.coalesce("component", "class").alias("component"))
-    rest = pairs_left(placed, classes, threshold).join(
-        stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    more = materialize(verified(materialize(rest), base, sets, threshold))
-    named = materialize(components(links.union(more)))
+    named = materialize(components(all_links(base, sets, classes, threshold)))
     member = classes.join(named, F.col("class") == F.col("node"), "left").select("class", "least", F.coalesce("component", "class").alias("component"))
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
     resolved = member.join(least, "component").select(F.col("class").alias("_class"), "component", "component_id")

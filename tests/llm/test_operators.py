@@ -115,7 +115,9 @@ def test_jaccard_equals_brute_force(spark, docs, texts):
     assert jaccard.linked(empty(spark)).count() == 0
 
 
-def test_jaccard_chain_and_many_near_copies(spark):
+@pytest.mark.parametrize("group", [32, 3])  # 3: most groups go to the second index
+def test_jaccard_chain_and_many_near_copies(spark, monkeypatch, group):
+    monkeypatch.setattr(jaccard, "GROUP", group)
     rng = random.Random(9)
     words = [f"w{rng.randrange(10**6)}" for _ in range(400)]
     texts, current = {}, list(words)
@@ -144,8 +146,13 @@ def test_signatures_lose_no_link():
         if not len(b) or np.array_equal(a, b) or 100 * len(np.intersect1d(a, b)) < 85 * len(np.union1d(a, b)):
             continue
         seen += 1
-        found, row = jaccard.signatures(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), 2)
-        assert set(found[row == 0]) & set(found[row == 1])
+        both, which = np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)])
+        for wide in (False, True):
+            found, row = jaccard.signatures(both, which, 2, wide=wide)
+            assert set(found[row == 0]) & set(found[row == 1])
+        x, y = jaccard.parity_sketches(both, which, 2)
+        bits = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+        assert bits <= len(np.setxor1d(a, b)) <= jaccard.most_differences(len(a), len(b), 85)
     assert seen > 50
 
 
