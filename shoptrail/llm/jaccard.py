@@ -15,9 +15,12 @@ from all others, so no link is lost.
 Signatures that one class has alone drop out in an aggregate. Each other one first proposes its members with its smallest one
 (as many pairs as members); linked classes merge, and signatures within one component are done. Of the others, those with at most
 ``GROUP`` classes propose their remaining pairs. The rest come from passages that many documents share: a link that shows in no
-other signature joins two classes of such groups, so these classes alone are indexed again at the next cost level, under few
-large segments and all their one-deletion neighbours, which a shared passage hardly ever fills; what is still together then
-proposes its pairs. No link is lost at any step.
+other signature joins two classes of such groups, so these classes alone are indexed again, at the next cost level: shingles that
+more than ``GROUP`` of them have are left out of the universe, which only lowers the number of differences, and no signature is
+crowded any more. Classes with too few shingles left to tell H + 1 differences are also indexed under each of these: two of them that have
+more than H between them and are linked must share one. Those with fewer are, among each other, indexed a third time, under few
+large segments and all their one-deletion neighbours; what is still together there and may be linked by these counts proposes
+its pairs. No link is lost at any step.
 
 A proposal is checked first on parity sketches: linked sets differ in at most H places, so the exclusive or of their bitmaps has
 at most H bits. What is left is verified on the sets.
@@ -46,6 +49,7 @@ THRESHOLD = 85
 BROADCAST_IDS = 2_000_000
 GROUP = 32  # classes under one signature whose pairs are proposed at once
 SKETCH_BITS = 1024
+PLAIN, WIDE, RARE = 0, 1, 2  # levels of the index
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63,
                                0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x2545F4914F6CDD1D)]
 
@@ -135,11 +139,16 @@ def allocate_wide(low: int, high: int, threshold: int) -> tuple[int, int]:
     return segments, segments
 
 
-def signatures(found: np.ndarray, owner: np.ndarray, rows: int, threshold: int = THRESHOLD, wide: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of all rows and their rows; ``found`` is what ``shingles`` gives."""
-    size = np.bincount(owner, minlength=rows)
-    if not len(found):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+def signatures(found: np.ndarray, owner: np.ndarray, rows: int, threshold: int = THRESHOLD, level: int = PLAIN,
+               size: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures of all rows, their rows, and the rows that tell too few differences.
+
+    ``found`` is what ``shingles`` gives; at level ``RARE`` it holds only a part of each set, whose whole ``size`` is given.
+    """
+    size = np.bincount(owner, minlength=rows) if size is None else size
+    nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if not len(size) or not size.max():
+        return nothing
     edges = np.array(band_edges(int(size.max())))
     band = np.searchsorted(edges, size, "right") - 1
     own = most_differences(size, size * 100 // threshold, threshold) + 1
@@ -151,47 +160,57 @@ def signatures(found: np.ndarray, owner: np.ndarray, rows: int, threshold: int =
         # sets that can't differ at all from a linked one are equal to it, so they need no search
         chosen = chosen & ((need > 1) | looks_down)
         if chosen.any():
-            parts.append(_emit(found, owner, chosen, bands, need, edges, threshold, wide))
+            parts.append(_emit(found, owner, chosen, bands, need, edges, threshold, level))
     if not parts:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        return nothing
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.unique(np.concatenate([p[2] for p in parts]))
+
+
+def _plan(low: int, high: int, threshold: int, level: int) -> tuple[int, int]:
+    if level == RARE:  # shingles are rare here, so segments may be as small as one
+        return 8 * (most_differences(high, high * 100 // threshold, threshold) + 1), 0
+    return (allocate_wide if level == WIDE else allocate)(low, high, threshold)
 
 
 def _emit(found: np.ndarray, owner: np.ndarray, chosen: np.ndarray, bands: np.ndarray, need: np.ndarray, edges: np.ndarray,
-          threshold: int, wide: bool) -> tuple[np.ndarray, np.ndarray]:
+          threshold: int, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     plans = np.zeros((len(edges), 2), np.int64)
     for b in np.unique(bands[chosen]):
-        plans[b] = (allocate_wide if wide else allocate)(int(edges[b]), int(edges[b + 1]) - 1, threshold)
+        plans[b] = _plan(int(edges[b]), int(edges[b + 1]) - 1, threshold, level)
     kept = chosen[owner]
     found, owner = found[kept], owner[kept]
     segments, double = plans[np.maximum(bands, 0), 0], plans[np.maximum(bands, 0), 1]
-    segment = ((found >> np.uint64(32)) * segments[owner].astype(np.uint64) >> np.uint64(32)).astype(np.int64)  # rises with the hash
-    head = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (segment[1:] != segment[:-1])]))
-    held = np.diff(np.concatenate([head, [len(found)]]))
-    row, place = owner[head], segment[head]
-    mixed = mix(found ^ _ODD[1])
-    total = np.add.reduceat(mixed, head)
-    twice = (place < double[row]) & (held > 1)
-    tells = np.where(twice, 2, 1)
-    running = np.cumsum(tells)
-    first = np.concatenate([[True], row[1:] != row[:-1]])
-    before = running - tells
-    start = np.maximum.accumulate(np.where(first, np.arange(len(row)), 0))
-    used = before - before[start] < need[row]
-    salt = mix(bands.astype(np.uint64) * _ODD[2] + np.uint64(2 if wide else 1))
-    names = salt[row] + place.astype(np.uint64) * _ODD[3]
-    out, rows = [mix(total[used] + mix(names[used]))], [row[used]]
-    leave = np.repeat(used & twice, held)
-    if leave.any():
-        at = np.repeat(np.arange(len(head)), held)[leave]
-        out.append(mix(total[at] - mixed[leave] + mix(names[at])))
-        rows.append(row[at])
-    sums = np.bincount(row, weights=tells, minlength=len(chosen))
-    for r in np.flatnonzero(chosen & (sums < need)):  # too uneven: empty segments too, under names of their own
-        empty = np.setdiff1d(np.arange(segments[r]), place[row == r])
-        out.append(mix(mix(salt[r] + empty.astype(np.uint64) * _ODD[3]) ^ _ODD[4]))
-        rows.append(np.full(len(empty), r))
-    return np.concatenate(out), np.concatenate(rows)
+    out, rows, row, place, tells = [], [], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    salt = mix(bands.astype(np.uint64) * _ODD[2] + np.uint64(1 + level))
+    if len(found):
+        segment = ((found >> np.uint64(32)) * segments[owner].astype(np.uint64) >> np.uint64(32)).astype(np.int64)  # rises with the hash
+        head = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (segment[1:] != segment[:-1])]))
+        held = np.diff(np.concatenate([head, [len(found)]]))
+        row, place = owner[head], segment[head]
+        mixed = mix(found ^ _ODD[1])
+        total = np.add.reduceat(mixed, head)
+        twice = (place < double[row]) & (held > 1)
+        tells = np.where(twice, 2, 1)
+        before = np.cumsum(tells) - tells
+        first = np.concatenate([[True], row[1:] != row[:-1]])
+        start = np.maximum.accumulate(np.where(first, np.arange(len(row)), 0))
+        used = before - before[start] < need[row]
+        names = salt[row] + place.astype(np.uint64) * _ODD[3]
+        out.append(mix(total[used] + mix(names[used])))
+        rows.append(row[used])
+        leave = np.repeat(used & twice, held)
+        if leave.any():
+            at = np.repeat(np.arange(len(head)), held)[leave]
+            out.append(mix(total[at] - mixed[leave] + mix(names[at])))
+            rows.append(row[at])
+    short = np.flatnonzero(chosen & (np.bincount(row, weights=tells, minlength=len(chosen)) < need))
+    if level != RARE:
+        for r in short:  # too uneven: empty segments too, under names of their own
+            empty = np.setdiff1d(np.arange(segments[r]), place[row == r])
+            out.append(mix(mix(salt[r] + empty.astype(np.uint64) * _ODD[3]) ^ _ODD[4]))
+            rows.append(np.full(len(empty), r))
+    none = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    return np.concatenate(out or none[0]), np.concatenate(rows or none[1]), short
 
 
 def _class_of(found: np.ndarray, owner: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -231,12 +250,12 @@ def set_table(docs: DataFrame, key_type: str) -> DataFrame:
     return _from_text(docs, make, ["_key", "_row"], f"_key {key_type}, _row long, n_shingles long, class long")
 
 
-def signature_table(docs: DataFrame, threshold: int, wide: bool = False) -> DataFrame:
+def signature_table(docs: DataFrame, threshold: int, level: int = PLAIN) -> DataFrame:
     """(signature, class) of the sets of ``docs``."""
 
     def make(found, owner, rows):
         names = _class_of(found, owner, rows)[1]
-        signature, row = signatures(found, owner, rows, threshold, wide)
+        signature, row, _ = signatures(found, owner, rows, threshold, level)
         return np.zeros(0, np.int64), {"signature": pa.array(signature.view(np.int64)), "class": pa.array(names[row].view(np.int64))}
 
     return _from_text(docs, make, [], "signature long, class long")
@@ -254,6 +273,45 @@ def parity_sketches(found: np.ndarray, owner: np.ndarray, rows: int) -> np.ndarr
     return made
 
 
+def _listed(found, owner, count):
+    offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=count))]).astype(np.int32))
+    return None, {"shingles": pa.ListArray.from_arrays(offsets, pa.array(found.view(np.int64)))}
+
+
+def rare_signatures(docs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+    """(signature, class, rare) over the shingles that at most ``GROUP`` of ``docs`` (class, _text) have.
+
+    A class with too few of these has a signature for each, and a row without signature that holds their number.
+    """
+    held = _from_text(docs, _listed, ["class"], "class long, shingles array<long>").select("class", F.explode("shingles").alias("shingle"))
+    rare = held.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") <= GROUP).select("shingle")
+    left = held.join(rare, "shingle").groupBy("class").agg(F.collect_list("shingle").alias("shingles"))
+    whole = docs.select("class").join(classes.select("class", "n_shingles"), "class").join(left, "class", "left")
+    whole = whole.select("class", "n_shingles", F.coalesce("shingles", F.array().cast("array<long>")).alias("shingles"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = batch.column(0).to_numpy()
+            for at in range(0, len(names), 256):
+                part = batch.slice(at, 256)
+                lists = part.column(2)
+                found = lists.flatten().to_numpy().view(np.uint64).copy()
+                ends = lists.offsets.to_numpy() - lists.offsets.to_numpy()[0]
+                for a, b in zip(ends[:-1], ends[1:], strict=True):
+                    found[a:b].sort()
+                owner = np.repeat(np.arange(len(lists)), np.diff(ends))
+                signature, row, short = signatures(found, owner, len(lists), threshold, RARE, part.column(1).to_numpy())
+                few = np.isin(owner, short)
+                values = np.concatenate([signature, mix(found[few] ^ _ODD[6]), np.zeros(len(short), np.uint64)]).view(np.int64)
+                rows = np.concatenate([row, owner[few], short])
+                missing = np.arange(len(values)) >= len(values) - len(short)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values, mask=missing), pa.array(names[at:at + 256][rows]), pa.array(np.diff(ends)[rows].astype(np.int64), mask=~missing)],
+                    names=["signature", "class", "rare"])
+
+    return whole.mapInArrow(run, "signature long, class long, rare long")
+
+
 def _of_classes(docs: DataFrame, sets: DataFrame, names: DataFrame) -> DataFrame:
     """(class, _text): one document of each class in ``names``."""
     standing = materialize(sets.join(names, "class").groupBy("class").agg(F.min("_row").alias("_row")))
@@ -283,10 +341,6 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, classes: DataFr
         lists = pa.FixedSizeListArray.from_arrays(pa.array(flat.ravel()), flat.shape[1]).cast(pa.list_(pa.int64()))
         return None, {"sketch": lists}
 
-    def listed(found, owner, count):
-        offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=count))]).astype(np.int32))
-        return None, {"shingles": pa.ListArray.from_arrays(offsets, pa.array(found.view(np.int64)))}
-
     def of(left: DataFrame, make, column: str) -> DataFrame:
         made = _from_text(_of_classes(docs, sets, _ends(left)), make, ["class"], f"class long, {column} array<long>")
         return made.groupBy("class").agg(F.first(column).alias(column))
@@ -294,15 +348,25 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, classes: DataFr
     bits = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n)
     likely = materialize(_both(near, of(near, sketch, "sketch"), "sketch").filter(bits <= F.col("most")).select("a", "b"))
     both = F.size(F.array_intersect("x", "y"))
-    exact = _both(likely, of(likely, listed, "shingles"), "shingles")
+    exact = _both(likely, of(likely, _listed, "shingles"), "shingles")
     return materialize(exact.filter(100 * both >= threshold * (F.size("x") + F.size("y") - both)).select("a", "b"))
 
 
-def pairs_left(open_: DataFrame) -> DataFrame:
-    """Pairs of classes under one signature that are in different components; ``open_`` has (signature, class, component)."""
-    one = open_.select("signature", F.col("class").alias("a"), F.col("component").alias("ca"))
-    two = open_.select("signature", F.col("class").alias("b"), F.col("component").alias("cb"))
-    return one.join(two, "signature").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))).select("a", "b").distinct()
+def pairs_left(open_: DataFrame, counts: DataFrame | None = None, threshold: int = THRESHOLD) -> DataFrame:
+    """Pairs of classes under one signature that are in different components; ``open_`` has (signature, class, component).
+
+    ``counts`` (class, n_shingles, rare) leaves out pairs with more rare shingles than linked sets may differ in.
+    """
+    def side(name: str, component: str, n: str, rare: str) -> DataFrame:
+        kept = open_ if counts is None else open_.join(counts, "class")
+        more = [F.col("n_shingles").alias(n), F.col("rare").alias(rare)] if counts is not None else []
+        return kept.select("signature", F.col("class").alias(name), F.col("component").alias(component), *more)
+
+    fits = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+    if counts is not None:
+        fits = fits & ((F.col("ra") + F.col("rb")) * (100 + threshold) <= (100 - threshold) * (F.col("na") + F.col("nb")))
+        fits = fits & (100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
+    return side("a", "ca", "na", "ra").join(side("b", "cb", "nb", "rb"), "signature").filter(fits).select("a", "b").distinct()
 
 
 def _open(shared: DataFrame, links: DataFrame) -> DataFrame:
@@ -328,22 +392,30 @@ def _stars(shared: DataFrame) -> DataFrame:
 def all_links(base: DataFrame, sets: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
     """Verified links (a, b) of classes that join every two linked classes, directly or over others."""
     tried = links = None
-    docs = base
-    for wide in (False, True):
-        shared = _shared(signature_table(docs, threshold, wide))
-        stars = _stars(shared) if tried is None else _stars(shared).join(tried, ["a", "b"], "left_anti")
-        stars = materialize(stars)
+    found, docs = signature_table(base, threshold), base
+    for level in (PLAIN, RARE, WIDE):
+        shared = _shared(found)
+        stars = materialize(_stars(shared) if tried is None else _stars(shared).join(tried, ["a", "b"], "left_anti"))
         fresh = verified(stars, base, sets, classes, threshold)
         tried, links = (stars, fresh) if tried is None else (tried.union(stars), links.union(fresh))
         open_ = _open(shared, links)
-        few = open_ if wide else open_.filter(F.col("n") <= GROUP)
-        rest = materialize(pairs_left(few).join(tried, ["a", "b"], "left_anti"))
+        few = open_.filter(F.col("n") <= GROUP) if level == PLAIN else open_
+        counts = next_.join(classes.select("class", "n_shingles"), "class") if level == WIDE else None
+        rest = materialize(pairs_left(few, counts, threshold).join(tried, ["a", "b"], "left_anti"))
         links = links.union(verified(rest, base, sets, classes, threshold))
         tried = tried.union(rest)
-        many = materialize(open_.filter(F.col("n") > GROUP).select("class").distinct())
-        if wide or many.isEmpty():
+        if level == PLAIN:
+            next_ = materialize(open_.filter(F.col("n") > GROUP).select("class").distinct())
+        elif level == RARE:
+            next_ = materialize(marked.filter("signature is null").groupBy("class").agg(F.min("rare").alias("rare")))
+        if level == WIDE or next_.isEmpty():
             break
-        docs = _of_classes(base, sets, many)
+        if level == PLAIN:
+            docs = _of_classes(base, sets, next_)
+            marked = materialize(rare_signatures(docs, classes, threshold))
+            found = marked.filter("signature is not null").select("signature", "class")
+        else:
+            found = signature_table(docs.join(next_, "class", "left_semi"), threshold, WIDE)
     return materialize(links)
 
 

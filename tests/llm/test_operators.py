@@ -147,8 +147,8 @@ def test_signatures_lose_no_link():
             continue
         seen += 1
         both, which = np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)])
-        for wide in (False, True):
-            found, row = jaccard.signatures(both, which, 2, wide=wide)
+        for level in (jaccard.PLAIN, jaccard.WIDE):
+            found, row, _ = jaccard.signatures(both, which, 2, level=level)
             assert set(found[row == 0]) & set(found[row == 1])
         x, y = jaccard.parity_sketches(both, which, 2)
         bits = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
@@ -429,3 +429,20 @@ def test_pipeline_stages(spark, judged, tmp_path):
     assert sorted((r["doc_id"], r["s"]) for r in decoded.collect()) == want
     ran = corpus_pipeline.run(spark, str(tmp_path))
     assert sorted(r["doc_id"] for r in ran.select("doc_id").collect()) == [i for i, _ in want]
+
+
+@pytest.mark.parametrize("group", [32, 4])
+def test_jaccard_with_a_passage_that_fills_most_of_many_texts(spark, monkeypatch, group):
+    monkeypatch.setattr(jaccard, "GROUP", group)
+    rng = random.Random(11)
+    passage = [f"p{i}" for i in range(300)]
+    texts = {}
+    for i in range(40):  # alike, but not linked: each has 45 words of its own
+        texts[i] = " ".join(passage + [f"a{rng.randrange(10**7)}" for _ in range(45)])
+    for i in range(100, 112):  # linked: few words of their own
+        texts[i] = " ".join(passage + [f"b{rng.randrange(10**7)}" for _ in range(15 + i % 5)])
+    for i in range(200, 206):  # linked with one of the first, over words of its own
+        texts[i] = texts[i - 200] + f" c{i}"
+    frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.linked(frame).collect()}
+    assert got == brute_components(texts)
