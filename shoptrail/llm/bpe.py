@@ -31,7 +31,7 @@ PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^" + _SPACE + r"\p{L}\p{N}]+|["
     + _SPACE + r"]+(?![^" + _SPACE + r"])|[" + _SPACE + "]+"
 )
-REMEMBERED = 300_000  # pieces a task keeps before it starts afresh; changes nothing but time
+REMEMBERED = 120_000  # pieces a task keeps before it starts afresh; changes nothing but time
 _LONG = 256  # bytes of a word from which exact merging takes the heap
 _NONE = np.int64(1) << 40
 

@@ -11,7 +11,11 @@ from . import bpe, fingerprints, jaccard, langid, mixing, neighbours, quality, s
 from .sampling import remainder
 
 
+BATCH_ROWS = 2_000  # of an Arrow batch: texts are long, and Spark's default of 10,000 rows fills executors
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
