@@ -9,6 +9,8 @@ from shoptrail.llm import bpe, jaccard, mixing, quality, substrings
 from shoptrail.llm.queries import table, tokenizer_path
 from shoptrail.session import stored
 
+NEAR_SHINGLE, NEAR_THRESHOLD = 5, 80  # op2_jaccard has a contract of its own: 4 words, 85
+
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go."""
@@ -16,8 +18,8 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones stays."""
-    return jaccard.keep_one(docs)
+    """One document of each group of linked ones stays; sets of five words link from 0.8 on."""
+    return jaccard.keep_one(docs, n=NEAR_SHINGLE, threshold=NEAR_THRESHOLD)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -222,15 +222,15 @@ def _class_of(found: np.ndarray, owner: np.ndarray, rows: int) -> tuple[np.ndarr
     return size, mix(total + size.astype(np.uint64) * _ODD[5])
 
 
-def _from_text(df: DataFrame, make, keep: list[str], schema: str) -> DataFrame:
-    """``make`` gets hashes, their rows and the number of rows, and gives the rows to keep and further columns."""
+def _from_text(df: DataFrame, make, keep: list[str], schema: str, n: int) -> DataFrame:
+    """``make`` gets hashes of shingles of ``n`` words, their rows and the number of rows, and gives the rows to keep and further columns."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = Powers()
         for batch in batches:
             text = batch.column(batch.schema.names.index("_text"))
             for first, last, data, offsets in pieces(text):
-                found, owner = shingles(data, offsets, powers)
+                found, owner = shingles(data, offsets, powers, n)
                 rows, columns = make(found, owner, last - first)
                 taken = [batch.column(batch.schema.names.index(c)).slice(first, last - first) for c in keep]
                 if rows is not None:
@@ -240,17 +240,17 @@ def _from_text(df: DataFrame, make, keep: list[str], schema: str) -> DataFrame:
     return df.select(*keep, "_text").mapInArrow(run, schema)
 
 
-def set_table(docs: DataFrame, key_type: str) -> DataFrame:
+def set_table(docs: DataFrame, key_type: str, n: int = SHINGLE) -> DataFrame:
     """(key, row, n_shingles, class) of each row of ``docs`` (_key, _row, _text); an empty set has no class."""
 
     def make(found, owner, rows):
         size, name = _class_of(found, owner, rows)
         return None, {"n_shingles": pa.array(size), "class": pa.array(name.view(np.int64), mask=size == 0)}
 
-    return _from_text(docs, make, ["_key", "_row"], f"_key {key_type}, _row long, n_shingles long, class long")
+    return _from_text(docs, make, ["_key", "_row"], f"_key {key_type}, _row long, n_shingles long, class long", n)
 
 
-def signature_table(docs: DataFrame, threshold: int, level: int = PLAIN) -> DataFrame:
+def signature_table(docs: DataFrame, threshold: int, level: int = PLAIN, n: int = SHINGLE) -> DataFrame:
     """(signature, class) of the sets of ``docs``."""
 
     def make(found, owner, rows):
@@ -258,7 +258,7 @@ def signature_table(docs: DataFrame, threshold: int, level: int = PLAIN) -> Data
         signature, row, _ = signatures(found, owner, rows, threshold, level)
         return np.zeros(0, np.int64), {"signature": pa.array(signature.view(np.int64)), "class": pa.array(names[row].view(np.int64))}
 
-    return _from_text(docs, make, [], "signature long, class long")
+    return _from_text(docs, make, [], "signature long, class long", n)
 
 
 def parity_sketches(found: np.ndarray, owner: np.ndarray, rows: int) -> np.ndarray:
@@ -278,12 +278,12 @@ def _listed(found, owner, count):
     return None, {"shingles": pa.ListArray.from_arrays(offsets, pa.array(found.view(np.int64)))}
 
 
-def rare_signatures(docs: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+def rare_signatures(docs: DataFrame, classes: DataFrame, threshold: int, n: int = SHINGLE) -> DataFrame:
     """(signature, class, rare) over the shingles that at most ``GROUP`` of ``docs`` (class, _text) have.
 
     A class with too few of these has a signature for each, and a row without signature that holds their number.
     """
-    held = _from_text(docs, _listed, ["class"], "class long, shingles array<long>").select("class", F.explode("shingles").alias("shingle"))
+    held = _from_text(docs, _listed, ["class"], "class long, shingles array<long>", n).select("class", F.explode("shingles").alias("shingle"))
     rare = held.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") <= GROUP).select("shingle")
     left = held.join(rare, "shingle").groupBy("class").agg(F.collect_list("shingle").alias("shingles"))
     whole = docs.select("class").join(classes.select("class", "n_shingles"), "class").join(left, "class", "left")
@@ -330,7 +330,7 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, classes: DataFrame, threshold: int, n: int = SHINGLE) -> DataFrame:
     """The pairs (a, b) of classes that are linked, by size, then by sketches, then by the sets themselves."""
     sized = _both(pairs, classes, "n_shingles")
     near = materialize(sized.filter(100 * F.least("x", "y") >= threshold * F.greatest("x", "y")).select(
@@ -342,7 +342,7 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, classes: DataFr
         return None, {"sketch": lists}
 
     def of(left: DataFrame, make, column: str) -> DataFrame:
-        made = _from_text(_of_classes(docs, sets, _ends(left)), make, ["class"], f"class long, {column} array<long>")
+        made = _from_text(_of_classes(docs, sets, _ends(left)), make, ["class"], f"class long, {column} array<long>", n)
         return made.groupBy("class").agg(F.first(column).alias(column))
 
     bits = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n)
@@ -389,20 +389,20 @@ def _stars(shared: DataFrame) -> DataFrame:
     return shared.filter("class <> lo").select(F.col("lo").alias("a"), F.col("class").alias("b")).distinct()
 
 
-def all_links(base: DataFrame, sets: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
+def all_links(base: DataFrame, sets: DataFrame, classes: DataFrame, threshold: int, n: int = SHINGLE) -> DataFrame:
     """Verified links (a, b) of classes that join every two linked classes, directly or over others."""
     tried = links = None
-    found, docs = signature_table(base, threshold), base
+    found, docs = signature_table(base, threshold, n=n), base
     for level in (PLAIN, RARE, WIDE):
         shared = _shared(found)
         stars = materialize(_stars(shared) if tried is None else _stars(shared).join(tried, ["a", "b"], "left_anti"))
-        fresh = verified(stars, base, sets, classes, threshold)
+        fresh = verified(stars, base, sets, classes, threshold, n)
         tried, links = (stars, fresh) if tried is None else (tried.union(stars), links.union(fresh))
         open_ = _open(shared, links)
         few = open_.filter(F.col("n") <= GROUP) if level == PLAIN else open_
         counts = next_.join(classes.select("class", "n_shingles"), "class") if level == WIDE else None
         rest = materialize(pairs_left(few, counts, threshold).join(tried, ["a", "b"], "left_anti"))
-        links = links.union(verified(rest, base, sets, classes, threshold))
+        links = links.union(verified(rest, base, sets, classes, threshold, n))
         tried = tried.union(rest)
         if level == PLAIN:
             next_ = materialize(open_.filter(F.col("n") > GROUP).select("class").distinct())
@@ -412,36 +412,36 @@ def all_links(base: DataFrame, sets: DataFrame, classes: DataFrame, threshold: i
             break
         if level == PLAIN:
             docs = _of_classes(base, sets, next_)
-            marked = materialize(rare_signatures(docs, classes, threshold))
+            marked = materialize(rare_signatures(docs, classes, threshold, n))
             found = marked.filter("signature is not null").select("signature", "class")
         else:
-            found = signature_table(docs.join(next_, "class", "left_semi"), threshold, WIDE)
+            found = signature_table(docs.join(next_, "class", "left_semi"), threshold, WIDE, n)
     return materialize(links)
 
 
-def placed_rows(docs: DataFrame, key: str, text: str, threshold: int) -> DataFrame:
+def placed_rows(docs: DataFrame, key: str, text: str, threshold: int, n: int = SHINGLE) -> DataFrame:
     """(_key, _row, n_shingles, class, component, component_id) of each row; null class and component for an empty set."""
     base = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text"))
     base = base.withColumn("_row", F.xxhash64("_key", "_text"))  # equal rows are equal sets
-    sets = materialize(set_table(base, dict(docs.dtypes)[key]))
+    sets = materialize(set_table(base, dict(docs.dtypes)[key], n))
     classes = materialize(sets.filter("class is not null").groupBy("class").agg(F.min("_key").alias("least"), F.min("n_shingles").alias("n_shingles")))
-    named = materialize(components(all_links(base, sets, classes, threshold)))
+    named = materialize(components(all_links(base, sets, classes, threshold, n)))
     member = classes.join(named, F.col("class") == F.col("node"), "left").select("class", "least", F.coalesce("component", "class").alias("component"))
     least = member.groupBy("component").agg(F.min("least").alias("component_id"))
     resolved = member.join(least, "component").select(F.col("class").alias("_class"), "component", "component_id")
     return sets.join(resolved, F.col("class") == F.col("_class"), "left").drop("_class")
 
 
-def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, n: int = SHINGLE) -> DataFrame:
     """(key, n_shingles, component_id) of each row: the smallest key reachable by links, its own included."""
-    rows = placed_rows(docs, key, text, threshold)
+    rows = placed_rows(docs, key, text, threshold, n)
     own = F.when(F.col("class").isNull(), F.col("_key")).otherwise(F.col("component_id"))
     return rows.select(F.col("_key").alias(key), "n_shingles", own.alias("component_id"))
 
 
-def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = THRESHOLD, n: int = SHINGLE) -> DataFrame:
     """One document of each group of linked ones: the smallest key, null last. Documents without words stay; of equal rows one."""
-    rows = materialize(placed_rows(docs, key, text, threshold))
+    rows = materialize(placed_rows(docs, key, text, threshold, n))
     first = rows.filter("component is not null").groupBy("component").agg(
         F.min(F.struct(F.col("_key").isNull().alias("last"), "_key", "_row")).alias("first"))
     gone = rows.join(first, "component").filter(F.col("_row") != F.col("first._row")).select("_row").distinct()

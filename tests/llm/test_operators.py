@@ -446,3 +446,37 @@ def test_jaccard_with_a_passage_that_fills_most_of_many_texts(spark, monkeypatch
     frame = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.linked(frame).collect()}
     assert got == brute_components(texts)
+
+
+def test_pipeline_links_from_four_fifths_of_five_words(spark):
+    rng = random.Random(12)
+    texts = {2 * i: [f"w{rng.randrange(10**7)}" for _ in range(200 + 20 * i)] for i in range(1, 11)}
+    for i in range(2, 22, 2):  # words added: the Jaccard of 5 words is 0.82, of 4 words too
+        texts[i + 1] = texts[i] + [f"x{rng.randrange(10**7)}" for _ in range(round((len(texts[i]) - 4) * (1 / 0.82 - 1)))]
+    texts[100] = texts[2] + [f"y{rng.randrange(10**7)}" for _ in range(62)]  # 0.76
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in texts.items()], "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, frame, "").collect()}
+    assert kept == {*range(2, 22, 2), 100}
+    assert jaccard.keep_one(frame).count() == len(texts)
+    five = [{tuple(t[k:k + 5]) for k in range(len(t) - 4)} for t in (texts[2], texts[3])]
+    assert 0.8 < len(five[0] & five[1]) / len(five[0] | five[1]) < 0.85
+    sizes = {r["doc_id"]: r["n_shingles"] for r in jaccard.linked(frame, n=5, threshold=80).collect()}
+    assert all(sizes[i] == len(t) - 4 for i, t in texts.items())
+
+
+def test_signatures_lose_no_link_at_four_fifths():
+    rng = np.random.default_rng(14)
+    seen = 0
+    for _ in range(400):
+        size = int(np.exp(rng.uniform(np.log(4), np.log(400))))
+        a = rng.integers(0, 2**63, size).astype(np.uint64)
+        b = np.concatenate([a[rng.integers(0, size // 6 + 1):], rng.integers(0, 2**63, rng.integers(0, size // 6 + 1)).astype(np.uint64)])
+        a, b = np.unique(a), np.unique(b)
+        if not len(b) or np.array_equal(a, b) or 100 * len(np.intersect1d(a, b)) < 80 * len(np.union1d(a, b)):
+            continue
+        seen += 1
+        both, which = np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)])
+        for level in (jaccard.PLAIN, jaccard.WIDE):
+            found, row, _ = jaccard.signatures(both, which, 2, threshold=80, level=level)
+            assert set(found[row == 0]) & set(found[row == 1])
+    assert seen > 50
