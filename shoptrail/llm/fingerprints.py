@@ -6,13 +6,13 @@ it doesn't depend on their order, equal texts have equal fingerprints, and a blo
 subtracting its vector (``insert``, ``delete``).
 
 The vector has two parts. ``WIDE`` numbers of 62 bits, summed modulo 2^62, tell texts apart. The others hold the bits of
-``SIGNS`` hashes in lanes of 15 bits, four lanes to a number, summed modulo 2^60: a lane counts the blocks whose bit is set.
+``SIGNS`` hashes in lanes of 30 bits, two lanes to a number, summed modulo 2^60: a lane counts the blocks whose bit is set. Within
+``RUN`` blocks, which lanes of 15 bits can count, four lanes are summed in one number and then spread.
 Twice that count less the number of blocks is a sum of random signs, and the products of two texts' sums average to the number of
 blocks they share; ``likeness`` is that shared number against the mean of both texts' own, in 0..1.
 
 Null counts as empty; the empty text has the zero vector, and two empty texts have likeness 1, an empty and another 0. Texts are
-never cut short. Repeated rows have equal fingerprints. A text with more than 32,767 blocks overflows lanes: its fingerprint stays
-well defined, its likeness loses precision.
+never cut short. Repeated rows have equal fingerprints. A text of Spark has fewer than 2^30 blocks, so no lane overflows.
 """
 
 from __future__ import annotations
@@ -23,9 +23,13 @@ from pyspark.sql import functions as F
 BLOCK = 48
 WIDE = 3
 SIGNS = 3
+RUN = 32_767  # blocks
 _LANES = sum(1 << (15 * i) for i in range(4))
+_PAIR, _MASK30 = 1 | 1 << 30, (1 << 30) - 1
+_HALVES = 32_767 | 32_767 << 30
 _MASK60, _MASK62 = (1 << 60) - 1, (1 << 62) - 1
-_N = WIDE + 15 * SIGNS  # then the number of blocks
+_N = WIDE + 30 * SIGNS  # then the number of blocks
+_N_RUN = WIDE + 15 * SIGNS  # the same within a run
 _PATTERN = r"[^.!?\n]{0," + str(BLOCK) + r"}[.!?\n]*\s*"
 
 
@@ -37,30 +41,39 @@ def blocks(text: Column) -> Column:
 
 def _vector(block: Column) -> list[Column]:
     wide = [F.xxhash64(block, F.lit(k)).bitwiseAND(F.lit(_MASK62)) for k in range(WIDE)]
-    signs = []
-    for k in range(SIGNS):
-        h = F.xxhash64(block, F.lit(100 + k))
-        signs += [F.shiftrightunsigned(h, i).bitwiseAND(F.lit(_LANES)) for i in range(15)]
+    hashes = [F.xxhash64(block, F.lit(100 + k)) for k in range(SIGNS)]
+    signs = [F.shiftrightunsigned(h, by + i).bitwiseAND(F.lit(_PAIR)) for by in (0, 15) for h in hashes for i in range(15)]
     return [*wide, *signs, F.lit(1).cast("bigint")]
 
 
 def _masks() -> list[int]:
-    return [_MASK62] * WIDE + [_MASK60] * (15 * SIGNS) + [_MASK62]
+    return [_MASK62] * WIDE + [_MASK60] * (30 * SIGNS) + [_MASK62]
 
 
 def fingerprint(text: Column) -> Column:
     """An array of numbers: the sum of the vectors of all blocks."""
-    zero = F.array_repeat(F.lit(0).cast("bigint"), _N + 1)
     hashed = F.transform(blocks(text), lambda b: F.array(*[F.xxhash64(b, F.lit(k)) for k in range(WIDE)], *[F.xxhash64(b, F.lit(100 + k)) for k in range(SIGNS)]))
+    zero = lambda n: F.array_repeat(F.lit(0).cast("bigint"), n + 1)
 
     def add(total: Column, h: Column) -> Column:
         wide = [(total[k] + h[k].bitwiseAND(F.lit(_MASK62))).bitwiseAND(F.lit(_MASK62)) for k in range(WIDE)]
         signs = [
-            (total[WIDE + 15 * k + i] + F.shiftrightunsigned(h[WIDE + k], i).bitwiseAND(F.lit(_LANES))).bitwiseAND(F.lit(_MASK60))
+            total[WIDE + 15 * k + i] + F.shiftrightunsigned(h[WIDE + k], i).bitwiseAND(F.lit(_LANES))
             for k in range(SIGNS) for i in range(15)]
-        return F.array(*wide, *signs, total[_N] + F.lit(1).cast("bigint"))
+        return F.array(*wide, *signs, total[_N_RUN] + F.lit(1).cast("bigint"))
 
-    return F.aggregate(hashed, zero, add)
+    def spread(run: Column) -> Column:
+        lanes = lambda by: F.transform(F.slice(run, WIDE + 1, 15 * SIGNS), lambda x: F.shiftrightunsigned(x, by).bitwiseAND(F.lit(_HALVES)))
+        return F.concat(F.slice(run, 1, WIDE), lanes(0), lanes(15), F.slice(run, _N_RUN + 1, 1))
+
+    def summed(found: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(found), F.lit(1)), F.lit(RUN))
+        runs = F.transform(starts, lambda at: F.aggregate(F.slice(found, at, F.lit(RUN)), zero(_N_RUN), add))
+        # no lane and no count reaches 62 bits
+        return F.aggregate(F.transform(runs, spread), zero(_N), lambda s, r: F.zip_with(s, r, lambda x, y: (x + y).bitwiseAND(F.lit(_MASK62))))
+
+    # a lambda's variable, so that the blocks are hashed once and not for each run
+    return F.transform(F.array(hashed), summed)[0]
 
 
 def _combined(fingerprint_: Column, block: Column, sign: int) -> Column:
@@ -85,8 +98,8 @@ def written(fingerprint_: Column) -> Column:
 
 def signs(fingerprint_: Column) -> Column:
     """The sums of signs, one for each lane."""
-    lanes = F.flatten(F.transform(F.slice(fingerprint_, WIDE + 1, 15 * SIGNS), lambda x: F.array(
-        *[F.shiftright(x, 15 * i).bitwiseAND(F.lit(32767)) for i in range(4)])))
+    lanes = F.flatten(F.transform(F.slice(fingerprint_, WIDE + 1, 30 * SIGNS), lambda x: F.array(
+        *[F.shiftright(x, 30 * i).bitwiseAND(F.lit(_MASK30)) for i in range(2)])))
     return F.transform(lanes, lambda c: (2 * c - fingerprint_[_N]).cast("double"))
 
 

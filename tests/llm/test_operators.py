@@ -480,3 +480,16 @@ def test_signatures_lose_no_link_at_four_fifths():
             found, row, _ = jaccard.signatures(both, which, 2, threshold=80, level=level)
             assert set(found[row == 0]) & set(found[row == 1])
     assert seen > 50
+
+
+def test_fingerprints_of_very_long_texts(spark):
+    lines = ["".join(f"{name}{i}\n" for i in range(100_000)) for name in ("a", "b")]
+    frame = spark.createDataFrame([(*lines, lines[0] + "b7\n", "b7\n" + lines[0])], "a string, b string, more string, first string")
+    f = {c: fingerprints.fingerprint(F.col(c)) for c in frame.columns}
+    made = frame.select(*[f[c].alias(c) for c in f]).select(
+        fingerprints.likeness(F.col("a"), F.col("b")).alias("other"), fingerprints.likeness(F.col("a"), F.col("more")).alias("near"),
+        (F.col("more") == F.col("first")).alias("order"), (fingerprints.insert(F.col("a"), F.lit("b7\n")) == F.col("more")).alias("added"),
+        (fingerprints.delete(F.col("more"), F.lit("b7\n")) == F.col("a")).alias("taken"), fingerprints.signs(F.col("a")).alias("signs")).first()
+    assert made["other"] < 0.3 and made["near"] > 0.95
+    assert made["order"] and made["added"] and made["taken"]
+    assert len(made["signs"]) == 180 and max(map(abs, made["signs"])) < 5 * 100_000 ** 0.5
