@@ -2,8 +2,9 @@
 
 A rule names a host and a path beginning; it fits its host and all subdomains where the url's path starts with the rule's, and
 the longest rule wins. Urls without a rule are judged by trees trained from labelled urls: lengths, depth, share of digits and
-hyphens, entropy of the host's letters, number of parameters, and statistics of the host's suffix over the training urls (their
-number and smoothed share of bad ones). Training takes a bounded sample of the labelled urls (``LABELLED``).
+hyphens, entropy of the host's letters, number of parameters, and statistics of the host's suffix over all labelled urls (their
+number and smoothed share of bad ones; the overall share for a suffix without any). Only fitting the trees takes a bounded sample of
+them (``LABELLED``).
 
 Null urls and urls without ``://`` have an empty host and path, and are judged by the trees like any other. With no labels, or
 labels of one class, the trees give way to that class (allow without labels). Repeated rows are judged alike. Other columns are
@@ -20,9 +21,11 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .sampling import about
 
 LABELLED = 20_000
+BROADCAST_SUFFIXES = 1_000_000
 # fixed values: words of hosts that count as bad when urls are labelled by a list
 BAD_WORDS = "casino pills bets spam ads porn viagra lottery jackpot loans replica torrent".split()
 
@@ -40,6 +43,10 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
+def suffix_of(host: Column) -> Column:
+    return F.element_at(F.split(host, r"\."), -1)
+
+
 def matched_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> tuple[Column, Column]:
     """(rule, verdict) of the longest fitting rule, null without one; ``rules`` are (verdict, host and path)."""
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
@@ -71,7 +78,7 @@ def lexical(df: DataFrame, url: str) -> DataFrame:
     count = lambda column, pattern: F.regexp_count(column, F.lit(pattern)).cast("double")
     size = F.greatest(F.length(text), F.lit(1))
     return named.withColumns({
-        "suffix": F.element_at(F.split(host, r"\."), -1),
+        "suffix": suffix_of(host),
         "url_length": F.length(text).cast("double"), "host_length": F.length(host).cast("double"), "path_length": F.length(path).cast("double"),
         "depth": count(path, "/[^/]+"), "digits": count(text, "[0-9]") / size, "hyphens": count(host, "-"), "labels": count(host, "[^.]+"),
         "longest_label": F.array_max(F.transform(F.split(host, r"\."), lambda x: F.length(x))).cast("double"), "entropy": _entropy(host),
@@ -84,6 +91,7 @@ class UrlModel:
     trees: GBTClassificationModel | None
     suffixes: DataFrame | None
     constant: str = "allow"
+    share: float = 0.0
 
 
 def train(labelled: DataFrame, url: str = "url", label: str = "label", trees: int = 10, depth: int = 4) -> UrlModel:
@@ -93,10 +101,14 @@ def train(labelled: DataFrame, url: str = "url", label: str = "label", trees: in
     sums = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("_label"), F.lit(0.0)).alias("bad")).first()
     if not sums["bad"] or sums["bad"] == sums["n"]:
         return UrlModel(None, None, "block" if sums["bad"] else "allow")
-    share = sums["bad"] / sums["n"]
-    suffixes = sample.groupBy("suffix").agg(
-        F.log1p(F.count("*")).alias("suffix_rows"), ((F.sum("_label") + 20 * share) / (F.count("*") + 20)).alias("suffix_bad"))
-    model = UrlModel(None, suffixes.withColumnRenamed("suffix", "_suffix"))
+    counts = materialize(known.groupBy(suffix_of(host_of(F.col("_url"))).alias("_suffix")).agg(
+        F.count("*").alias("n"), F.sum("_label").alias("bad")))
+    total = counts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"), F.count("*").alias("suffixes")).first()
+    share = total["bad"] / total["n"]
+    suffixes = counts.select("_suffix", F.log1p("n").alias("suffix_rows"), ((F.col("bad") + 20 * share) / (F.col("n") + 20)).alias("suffix_bad"))
+    if total["suffixes"] <= BROADCAST_SUFFIXES:  # some 50 bytes each
+        suffixes = suffixes.hint("broadcast")
+    model = UrlModel(None, suffixes, share=share)
     fitted = GBTClassifier(featuresCol="_vector", labelCol="_label", predictionCol="_bad",
                            maxIter=trees, maxDepth=depth, seed=7).fit(_assembled(sample, model))
     model.trees = fitted
@@ -104,8 +116,7 @@ def train(labelled: DataFrame, url: str = "url", label: str = "label", trees: in
 
 
 def _assembled(df: DataFrame, model: UrlModel) -> DataFrame:
-    # suffixes of a bounded sample: at most LABELLED rows
-    joined = df.join(model.suffixes.hint("broadcast"), F.col("suffix") == F.col("_suffix"), "left").fillna(0.0, ["suffix_rows", "suffix_bad"])
+    joined = df.join(model.suffixes, F.col("suffix") == F.col("_suffix"), "left").fillna({"suffix_rows": 0.0, "suffix_bad": model.share})
     return VectorAssembler(inputCols=FEATURES, outputCol="_vector").transform(joined)
 
 

@@ -493,3 +493,15 @@ def test_fingerprints_of_very_long_texts(spark):
     assert made["other"] < 0.3 and made["near"] > 0.95
     assert made["order"] and made["added"] and made["taken"]
     assert len(made["signs"]) == 180 and max(map(abs, made["signs"])) < 5 * 100_000 ** 0.5
+
+
+def test_url_suffixes_count_all_labelled_urls(spark, monkeypatch):
+    monkeypatch.setattr(urls, "LABELLED", 400)
+    rows = [(f"http://h{i}.{'rare' + str(i) if i % 20 == 0 else 'com' if i % 2 else 'org'}/{i}", int(i % 2 == 0)) for i in range(2000)]
+    model = urls.train(spark.createDataFrame(rows, "url string, label int"), trees=2, depth=2)
+    got = {r["_suffix"]: (r["suffix_rows"], r["suffix_bad"]) for r in model.suffixes.collect()}
+    assert len(got) == 102 and model.share == 0.5
+    assert got["com"] == pytest.approx((np.log1p(1000), 10 / 1020)) and got["rare40"] == pytest.approx((np.log1p(1), 11 / 21))
+    unseen = spark.createDataFrame([("http://a.unseen/", "unseen")], "_url string, s string")
+    assembled = urls._assembled(urls.lexical(unseen, "_url"), model).first()
+    assert (assembled["suffix_rows"], assembled["suffix_bad"]) == (0.0, 0.5)
