@@ -505,3 +505,25 @@ def test_url_suffixes_count_all_labelled_urls(spark, monkeypatch):
     unseen = spark.createDataFrame([("http://a.unseen/", "unseen")], "_url string, s string")
     assembled = urls._assembled(urls.lexical(unseen, "_url"), model).first()
     assert (assembled["suffix_rows"], assembled["suffix_bad"]) == (0.0, 0.5)
+
+
+def test_substrings_find_passages_in_mid_sentence(spark):
+    rng = random.Random(15)
+    made = lambda n: [f"w{rng.randrange(10**7)}" for _ in range(n)]
+    rows, own = [], {}
+    for k in range(60):
+        passage = made(51 + k % 10)
+        for i in (2 * k, 2 * k + 1):
+            before, behind = made(rng.randint(0, 40)), made(rng.randint(0, 40))
+            rows.append((i, " ".join(before + passage + behind)))
+            own[i] = before, passage, behind
+    few = ["ab"[rng.randrange(2)] for _ in range(55)]  # two words only
+    rows += [(200, " ".join(made(20) + few + made(20))), (201, " ".join(made(20) + few + made(20))), (202, " ".join(["word"] * 500))]
+    left = {r["doc_id"]: r["text"].split() for r in substrings.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, (before, passage, behind) in own.items():
+        if i % 2:
+            assert left[i][:len(before)] == before and left[i][len(left[i]) - len(behind):] == behind
+            assert len(left[i]) <= len(before) + len(behind) + len(passage) - substrings.PASSAGE
+        else:
+            assert left[i] == before + passage + behind
+    assert len(left[200]) == 95 and len(left[201]) <= 95 - substrings.PASSAGE and left[202] == ["word"] * (substrings.NEAR - 1 + substrings.PASSAGE)  # the first anchor is the 16th word
