@@ -314,10 +314,13 @@ def rare_signatures(docs: DataFrame, classes: DataFrame, threshold: int, n: int
 
 def _of_classes(docs: DataFrame, sets: DataFrame, names: DataFrame) -> DataFrame:
     """(class, _text): one document of each class in ``names``."""
-    standing = materialize(sets.join(names, "class").groupBy("class").agg(F.min("_row").alias("_row")))
-    if standing.count() <= BROADCAST_IDS:  # 16 bytes each
+    rows = sets.join(names, "class").groupBy("class", "_row").count()
+    standing = materialize(rows.groupBy("class").agg(F.min("_row").alias("_row"), F.max("count").alias("copies")))
+    repeats = not standing.filter("copies > 1").isEmpty()
+    if standing.count() <= BROADCAST_IDS:  # 24 bytes each
         standing = standing.hint("broadcast")
-    return docs.join(standing, "_row").select("class", "_text")
+    found = docs.join(standing, "_row").select("class", "_text")
+    return found.dropDuplicates(["class"]) if repeats else found  # equal rows share their _row
 
 
 def _both(pairs: DataFrame, values: DataFrame, column: str) -> DataFrame:

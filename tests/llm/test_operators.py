@@ -527,3 +527,18 @@ def test_substrings_find_passages_in_mid_sentence(spark):
         else:
             assert left[i] == before + passage + behind
     assert len(left[200]) == 95 and len(left[201]) <= 95 - substrings.PASSAGE and left[202] == ["word"] * (substrings.NEAR - 1 + substrings.PASSAGE)  # the first anchor is the 16th word
+
+
+def test_jaccard_takes_one_row_of_each_class(spark):
+    rng = random.Random(16)
+    rows = [(i, " ".join(f"w{rng.randrange(10**7)}" for _ in range(60))) for i in range(8)]
+    rows += [(8, rows[7][1]), *rows[:4], *rows[:4]]
+    base = spark.createDataFrame(rows, "_key long, _text string").withColumn("_row", F.xxhash64("_key", "_text"))
+    sets = jaccard.set_table(base, "bigint")
+    classes = sets.groupBy("class").agg(F.min("n_shingles").alias("n_shingles"))
+    docs = jaccard._of_classes(base, sets, classes.select("class"))
+    assert docs.count() == 8
+    marked = jaccard.rare_signatures(docs, classes, 85).filter("signature is null or rare is not null").collect()
+    once = base.dropDuplicates(["_row"])
+    want = jaccard.rare_signatures(jaccard._of_classes(once, jaccard.set_table(once, "bigint"), classes.select("class")), classes, 85)
+    assert sorted(map(tuple, marked), key=str) == sorted(map(tuple, want.filter("signature is null or rare is not null").collect()), key=str)
