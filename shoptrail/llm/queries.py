@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, divergence, fingerprints, jaccard, langid, mixing, neighbours, quality, queries_sql, substrings, toxicity, urls
+from . import bpe, conversations, divergence, fingerprints, jaccard, langid, mixing, neighbours, quality, queries_sql, substrings, toxicity, urls
 from .sampling import remainder
 
 
@@ -103,6 +103,10 @@ def op10_langid(spark: SparkSession, folder: str) -> DataFrame:
     return predicted.select("doc_id", F.coalesce(part == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+def op11_conversations(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.damage_report(table(spark, folder, "conversations"))
+
+
 def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
 
@@ -118,7 +122,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_mixing": op9_mixing,
     "op10_langid": op10_langid,
+    "op11_conversations": op11_conversations,
     "op12_divergence": op12_divergence,
 }
 
-ORACLES: dict[str, str] = {"op12_divergence": queries_sql.OP12}
+ORACLES: dict[str, str] = {"op11_conversations": queries_sql.OP11, "op12_divergence": queries_sql.OP12}

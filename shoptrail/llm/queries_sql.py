@@ -42,3 +42,75 @@ with docs as (
 )
 select lang, source, part, item, value, rank::int as rank from ranked where part = 'pair' or rank <= 200
 """
+
+_SPACE = r"\x20\x09-\x0D"
+_INSERTS = "(0,0,0,''),(1,1,0,''),(2,2,0,''),(3,3,0,''),(0,2,2,'I'),(0,3,4,'II'),(1,2,2,'I'),(1,3,4,'II'),(2,3,2,'I'),(3,2,2,'I')"
+_STEPS = "(0,'s',1),(0,'u',2),(1,'u',2),(3,'u',2),(2,'a',3)"
+
+# A walk over the rows of a conversation, with the best edits for each of the four states, instead of a chart over spans.
+OP11 = f"""
+with recursive damaged as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+         xor(list_reduce(flatten(list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''),
+           lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+           lambda a, x: case when x >= 0 then xor(a, x) when a % 2 = 1 then xor(a >> 1, 3988292384::bigint) else a >> 1 end,
+           4294967295::bigint), 4294967295::bigint) % 20 as fate
+  from conversations
+), hurt as (
+  select conv_id, turn, case when fate = 4 then 'user' else role end as role,
+         case fate when 1 then '' when 2 then translate(text, '.!?', '') else text end as text,
+         unnest(case when fate = 3 then [1, 2] else [1] end) as copy
+  from damaged where fate <> 0
+), placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, sha256(length(role) || ':' || role || text), copy) as pos from hurt
+), rows as (
+  select conv_id, turn, role, text, pos, left(role, 1) as initial,
+         case when not regexp_matches(text, '[^{_SPACE}]') then 'blank'
+              when row_number() over (partition by conv_id, role, text order by pos) > 1 then 'duplicate'
+              when not regexp_matches(text, '[.!?][{_SPACE}]*$') then 'truncated' else '' end as fault,
+         lag(left(role, 1)) over (partition by conv_id order by pos) as before,
+         count(*) over (partition by conv_id) as n
+  from placed
+), inserts(p, q, cost, audit) as (values {_INSERTS}),
+steps(p, initial, q) as (values {_STEPS}),
+moves as (  -- what each row may become, from every state
+  select r.conv_id, r.pos, s.p, s.q, 3 as cost, 'D' as edit from rows r, (select p, p as q from (values (0), (1), (2), (3)) t(p)) s
+  union all
+  select r.conv_id, r.pos, s.p, s.q, case fault when 'truncated' then 1 else 0 end, 'K' from rows r join steps s using (initial) where fault in ('', 'truncated')
+  union all
+  select r.conv_id, r.pos, s.p, s.q, 2 + case fault when 'truncated' then 1 else 0 end, 'R' from rows r join steps s on s.initial <> 's' where fault in ('', 'truncated')
+), walk as (
+  select distinct conv_id, 0::bigint as pos, 0 as state, '000000000' as best from rows
+  union all
+  select w.conv_id, m.pos, m.q, min(printf('%09d', left(w.best, 9)::int + i.cost + m.cost) || substr(w.best, 10) || i.audit || m.edit)
+  from walk w join inserts i on i.p = w.state join moves m on m.conv_id is not distinct from w.conv_id and m.pos = w.pos + 1 and m.p = i.q
+  group by w.conv_id, m.pos, m.q
+), repairs as (
+  select w.conv_id, min(printf('%09d', left(best, 9)::int + i.cost) || substr(best, 10) || i.audit) as best
+  from walk w join inserts i on i.p = w.state join (select distinct conv_id, n from rows) s on s.conv_id is not distinct from w.conv_id and s.n = w.pos
+  where i.q = 3 or (i.p = 0 and i.q = 0) group by w.conv_id
+), letters as (
+  select conv_id, substr(best, 10) as audit, unnest(string_split(substr(best, 10), '')) as edit, generate_subscripts(string_split(substr(best, 10), ''), 1) as step from repairs
+), counted as (
+  select *, count(*) filter (edit <> 'I') over w as pos, count(*) filter (edit <> 'D') over w as place,
+         count(*) filter (edit <> 'D') over (partition by conv_id) % 2 as system
+  from letters window w as (partition by conv_id order by step)
+), lines as (
+  select c.conv_id, c.step,
+         case when c.edit = 'K' then r.role when (c.place - 1 - c.system) % 2 = 0 then 'user' else 'assistant' end || ':' || case when c.edit = 'I' then '' else r.text end as line
+  from counted c left join rows r on r.conv_id is not distinct from c.conv_id and r.pos = c.pos where c.edit <> 'D'
+), texts as (select conv_id, string_agg(line, chr(10) order by step) as whole from lines group by conv_id),
+facts as (
+  select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (fault = 'blank') as blank,
+         count(*) filter (fault = 'duplicate') as duplicate, count(*) filter (fault = 'truncated') as truncated,
+         count(*) filter (before is not null and before || initial not in ('su', 'ua', 'au')) as illegal
+  from rows group by conv_id
+)
+select o.conv_id, coalesce(f.gaps, 0)::bigint as gaps, coalesce(f.blank, 0)::bigint as blank, coalesce(f.duplicate, 0)::bigint as duplicate,
+       coalesce(f.truncated, 0)::bigint as truncated, coalesce(f.illegal, 0)::bigint as illegal,
+       coalesce(left(r.best, 9)::bigint, 0) as cost, coalesce(substr(r.best, 10), '') as audit, sha256(coalesce(t.whole, '')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+left join facts f on f.conv_id is not distinct from o.conv_id
+left join repairs r on r.conv_id is not distinct from o.conv_id
+left join texts t on t.conv_id is not distinct from o.conv_id
+"""
