@@ -59,3 +59,13 @@ def stored(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
     folder = f"{df.sparkSession.sparkContext.getCheckpointDir()}/stored-{uuid.uuid4().hex}"
     df.write.partitionBy(*partition_by).parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the folder of a table that ``stored`` wrote, once everything that reads it has run."""
+    spark = df.sparkSession
+    for folder in {name.rsplit("/", 1)[0] for name in df.inputFiles()}:
+        if "/stored-" not in folder:
+            raise ValueError(f"not a stored table: {folder}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
