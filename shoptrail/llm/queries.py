@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, conversations, divergence, fingerprints, jaccard, langid, mixing, neighbours, quality, queries_sql, substrings, toxicity, urls
+from . import bpe, conversations, divergence, fingerprints, jaccard, langid, mixing, neighbours, quality, queries_sql, substrings, suffixes, toxicity, urls
 from .sampling import remainder
 
 
@@ -111,6 +111,11 @@ def op12_divergence(spark: SparkSession, folder: str) -> DataFrame:
     return divergence.audit(table(spark, folder, "documents"))
 
 
+def op13_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    removed = suffixes.dedup(table(spark, folder, "documents").select("doc_id", "text"))
+    return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_jaccard": op2_jaccard,
@@ -124,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_langid": op10_langid,
     "op11_conversations": op11_conversations,
     "op12_divergence": op12_divergence,
+    "op13_suffixes": op13_suffixes,
 }
 
-ORACLES: dict[str, str] = {"op11_conversations": queries_sql.OP11, "op12_divergence": queries_sql.OP12}
+ORACLES: dict[str, str] = {"op11_conversations": queries_sql.OP11, "op12_divergence": queries_sql.OP12, "op13_suffixes": queries_sql.OP13}

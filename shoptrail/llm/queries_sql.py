@@ -114,3 +114,30 @@ left join facts f on f.conv_id is not distinct from o.conv_id
 left join repairs r on r.conv_id is not distinct from o.conv_id
 left join texts t on t.conv_id is not distinct from o.conv_id
 """
+
+# Every string of 400 bytes by its hash, counted over all documents; texts as hexadecimal digits, two a byte.
+OP13 = """
+with docs as (
+  select row_number() over () as id, doc_id, coalesce(text, '') as text, hex(encode(coalesce(text, ''))) as digits from documents
+), starts as (
+  select id, unnest(range(1, len(digits) // 2 - 398)) as pos, encode(digits) as data from docs where len(digits) >= 800
+), strings as (
+  select id, pos, md5(data[2 * pos - 1:2 * pos + 798]) as name from starts
+), again as (
+  select id, pos from strings where name in (select name from strings group by name having count(*) > 1)
+), parted as (
+  select id, pos, case when pos - lag(pos) over (partition by id order by pos) <= 400 then 0 else 1 end as fresh from again
+), runs as (
+  select id, min(pos) as first, max(pos) + 400 as after
+  from (select *, sum(fresh) over (partition by id order by pos) as run from parted) group by id, run
+), gaps as (
+  select id, lag(after, 1, 1) over (partition by id order by first) as first, first as after, 0 as tail from runs
+  union all select id, max(after), null, 1 from runs group by id
+), left_over as (
+  select g.id, string_agg(digits[2 * g.first - 1:case when tail = 1 then len(digits) else 2 * g.after - 2 end], '' order by g.first, tail) as digits
+  from gaps g join docs using (id) group by g.id
+), sums as (select id, sum(after - first)::bigint as n_removed, count(*) as n_spans from runs group by id)
+select d.doc_id, (len(d.digits) // 2)::bigint as n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(l.digits, d.digits))) as kept_sha256
+from docs d left join sums s using (id) left join left_over l using (id)
+"""
