@@ -107,8 +107,8 @@ def first_cells(docs: DataFrame, length: int) -> DataFrame:
         for batch in batches:
             own = np.stack([batch.column(i).to_numpy() for i in (0, 1)], axis=1)
             for row, last_row, data, offsets in pieces(batch.column(2)):
-                step = TEXT_BYTES if len(data) > TEXT_BYTES else len(data)
-                for begin in range(0, len(data) or 1, step or 1):  # more than one only for a long text, which is alone then
+                step = TEXT_BYTES if last_row - row == 1 and len(data) > TEXT_BYTES else len(data)  # a long text is alone
+                for begin in range(0, len(data) or 1, step or 1):
                     part = data[begin:begin + step + length - 1]
                     sizes = np.diff(offsets) if step == len(data) else np.array([len(part)])
                     ends = np.repeat(offsets[1:], sizes) if step == len(data) else np.full(len(part), len(part))
