@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import constants as K
-from ..session import ensure_checkpoint_dir
+from . import boosting
 
 _WEIGHT = "_weight"
 
@@ -44,59 +42,63 @@ def train_logistic(
     return Pipeline(stages=[_assembler(features), estimator]).fit(train.withColumn(_WEIGHT, weight))
 
 
-def _boosted(train, features, label, positive_weight, **params) -> PipelineModel:
-    ensure_checkpoint_dir(train.sparkSession)  # rounds are checkpointed every 10 trees
-    if positive_weight is None:
-        negative, positive = label_counts(train, label)
-        positive_weight = negative / positive
-    weight = F.when(F.col(label) == 1, float(positive_weight)).otherwise(1.0)
-    estimator = GBTClassifier(featuresCol="features", labelCol=label, weightCol=_WEIGHT, seed=K.SEED, **params)
-    return Pipeline(stages=[_assembler(features), estimator]).fit(train.withColumn(_WEIGHT, weight))
+def _positive_weight(train: DataFrame, label: str, given: float | None) -> float:
+    if given is not None:
+        return float(given)
+    negative, positive = label_counts(train, label)
+    return negative / positive
 
 
-def train_gbt_depthwise(
-    train: DataFrame, features: Sequence[str], label: str = "label",
-    n_estimators: int = 300, learning_rate: float = 0.05, max_depth: int = 6,
-    subsample: float = 0.8, colsample: float = 0.8, gamma: float = 0.0,
-    min_child_weight: float = 0.0, scale_pos_weight: float | None = None,
-) -> PipelineModel:
-    """Boosted trees grown level by level."""
-    return _boosted(
-        train, features, label, scale_pos_weight, maxIter=n_estimators, stepSize=learning_rate, maxDepth=max_depth,
-        subsamplingRate=subsample, featureSubsetStrategy=_share(colsample), minInfoGain=gamma,
-        minWeightFractionPerNode=min_child_weight)
+def depthwise_settings(
+    n_estimators: int = 300, learning_rate: float = 0.05, max_depth: int = 6, subsample: float = 0.8, colsample: float = 0.8,
+    gamma: float = 0.0, min_child_weight: float = 1.0, reg_alpha: float = 0.0, reg_lambda: float = 1.0, scale_pos_weight: float = 1.0,
+) -> boosting.Settings:
+    """Trees grown level by level. A split has to gain more than ``gamma`` and to leave ``min_child_weight`` of second derivatives on
+    both sides; ``reg_alpha`` and ``reg_lambda`` are the L1 and L2 terms of the leaf weights."""
+    return boosting.Settings(
+        n_estimators, learning_rate, max_depth=max_depth, subsample=subsample, colsample=colsample, gamma=gamma,
+        min_child_weight=min_child_weight, reg_alpha=reg_alpha, reg_lambda=reg_lambda, scale_pos_weight=scale_pos_weight)
 
 
-def train_gbt_leaf_limited(
-    train: DataFrame, features: Sequence[str], label: str = "label",
-    n_estimators: int = 300, learning_rate: float = 0.05, num_leaves: int = 31, max_depth: int = -1,
-    min_child_samples: int = 20, subsample: float = 0.8, colsample: float = 0.8,
-    min_split_gain: float = 0.0, scale_pos_weight: float | None = None,
-) -> PipelineModel:
-    """Boosted trees with a leaf limit, kept through the depth: depth d bounds the leaves by 2**d."""
-    depth = math.ceil(math.log2(num_leaves))
-    if max_depth > 0:
-        depth = min(depth, max_depth)
-    return _boosted(
-        train, features, label, scale_pos_weight, maxIter=n_estimators, stepSize=learning_rate, maxDepth=depth,
-        subsamplingRate=subsample, featureSubsetStrategy=_share(colsample), minInfoGain=min_split_gain,
-        minInstancesPerNode=min_child_samples)
+def leaf_limited_settings(
+    n_estimators: int = 300, learning_rate: float = 0.05, num_leaves: int = 31, max_depth: int = -1, min_child_samples: int = 20,
+    subsample: float = 0.8, colsample: float = 0.8, min_split_gain: float = 0.0, reg_alpha: float = 0.0, reg_lambda: float = 0.0,
+    scale_pos_weight: float = 1.0,
+) -> boosting.Settings:
+    """Trees grown leaf by leaf: at most ``num_leaves``, at any depth unless ``max_depth`` is positive."""
+    return boosting.Settings(
+        n_estimators, learning_rate, max_depth=max_depth, num_leaves=num_leaves, subsample=subsample, colsample=colsample, gamma=min_split_gain,
+        min_child_weight=1e-3, min_child_samples=min_child_samples, reg_alpha=reg_alpha, reg_lambda=reg_lambda, scale_pos_weight=scale_pos_weight)
+
+
+def train_gbt_depthwise(
+    train: DataFrame, features: Sequence[str], label: str = "label", scale_pos_weight: float | None = None, **params,
+) -> boosting.BoostedTrees:
+    """Boosted trees grown level by level, parameters as in ``depthwise_settings``; positive rows weigh as much as negative ones by default."""
+    weight = _positive_weight(train, label, scale_pos_weight)
+    return boosting.fit(train, features, label, depthwise_settings(scale_pos_weight=weight, **params))
 
 
-def _share(fraction: float) -> str:
-    return "all" if fraction >= 1.0 else str(round(fraction, 6))
+def train_gbt_leaf_limited(
+    train: DataFrame, features: Sequence[str], label: str = "label", scale_pos_weight: float | None = None, **params,
+) -> boosting.BoostedTrees:
+    """Boosted trees with a limit of leaves, parameters as in ``leaf_limited_settings``."""
+    weight = _positive_weight(train, label, scale_pos_weight)
+    return boosting.fit(train, features, label, leaf_limited_settings(scale_pos_weight=weight, **params))
 
 
-def score(model: PipelineModel, rows: DataFrame, keep: Sequence[str] = ("user_id", "label"), threshold: float = 0.5) -> DataFrame:
+def score(
+    model: PipelineModel | boosting.BoostedTrees, rows: DataFrame, keep: Sequence[str] = ("user_id", "label"), threshold: float = 0.5,
+) -> DataFrame:
     """Ids, label, probability of buying and 0/1 prediction."""
-    scored = model.transform(rows).withColumn("_p", vector_to_array("probability")[1])
+    if isinstance(model, boosting.BoostedTrees):
+        scored = model.with_probability(rows.select(*dict.fromkeys([*keep, *model.features])), "_p")
+    else:
+        scored = model.transform(rows).withColumn("_p", vector_to_array("probability")[1])
     return scored.select(*keep, F.col("_p").alias("probability"), (F.col("_p") >= threshold).cast("int").alias("prediction"))
 
 
-def training_history(model: PipelineModel, rows: DataFrame, label: str = "label") -> DataFrame:
-    """(round, loss) of a boosted model on given rows."""
-    assembler, booster = model.stages
-    vectors = assembler.transform(rows).select("features", F.col(label).cast("double").alias(label), F.lit(1.0).alias(_WEIGHT))
-    losses = booster.evaluateEachIteration(vectors)
-    data = [(i + 1, float(v)) for i, v in enumerate(losses)]
+def training_history(model: boosting.BoostedTrees, rows: DataFrame, label: str = "label") -> DataFrame:
+    """(round, loss): mean log loss of a boosted model on given rows after each of its trees."""
+    data = [(i + 1, float(v)) for i, v in enumerate(model.losses(rows, label))]
     return rows.sparkSession.createDataFrame(data, "round int, loss double")

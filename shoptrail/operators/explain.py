@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from ..functions.ordering import exact_quantiles, global_rank
 from ..session import materialize
+from .boosting import BoostedTrees
 from .classifiers import score
 from .joins import heavy_of, hot_key_join
 from .metrics import evaluate_binary
@@ -36,7 +37,7 @@ def stacking_weights(model: PipelineModel, spark) -> DataFrame:
 
 
 def tree_model_importance(
-    model: PipelineModel, test: DataFrame, features: Sequence[str], key: str = "user_id",
+    model: PipelineModel | BoostedTrees, test: DataFrame, features: Sequence[str], key: str = "user_id",
     label: str = "label", seed: int = K.SEED,
 ) -> DataFrame:
     """(feature, importance): loss of AUC when the feature's values are exchanged among all rows.
@@ -60,10 +61,9 @@ def tree_model_importance(
         F.desc("importance"), "feature")
 
 
-def split_importance(model: PipelineModel, features: Sequence[str], spark) -> DataFrame:
+def split_importance(model: BoostedTrees, features: Sequence[str], spark) -> DataFrame:
     """(feature, importance) from the gains of the model's own splits."""
-    values = model.stages[-1].featureImportances.toArray()
-    rows = sorted(zip(features, map(float, values)), key=lambda r: (-r[1], r[0]))
+    rows = sorted(zip(features, model.importances(), strict=True), key=lambda r: (-r[1], r[0]))
     return spark.createDataFrame(rows, "feature string, importance double")
 
 

@@ -6,13 +6,13 @@ inner products), which gives an interest summary per (user, item) pair for boost
 
 from __future__ import annotations
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..functions.columns import weight_of
 from ..session import materialize
+from .boosting import BoostedTrees
 from .classifiers import score, train_gbt_depthwise
 from .joins import hot_key_join
 
@@ -73,11 +73,11 @@ def interest_features(samples: DataFrame, item_factors: DataFrame) -> DataFrame:
     return summed.na.fill(0.0, list(INTEREST_FEATURES))
 
 
-def train_interest_model(samples: DataFrame, **options) -> PipelineModel:
+def train_interest_model(samples: DataFrame, **options) -> BoostedTrees:
     """Boosted trees on the training samples."""
     return train_gbt_depthwise(samples.filter(F.col("split") == "train"), INTEREST_FEATURES, **options)
 
 
-def score_interest(model: PipelineModel, samples: DataFrame, split: str = "test") -> DataFrame:
+def score_interest(model: BoostedTrees, samples: DataFrame, split: str = "test") -> DataFrame:
     keep = ("user_id", "item_id", "item_category", "cutoff_time", "label")
     return score(model, samples.filter(F.col("split") == split), keep)

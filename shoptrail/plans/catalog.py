@@ -26,7 +26,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 LABEL_DAYS = 180  # the sparse events span years
-ROUNDS = {"n_estimators": 50}  # of registered boosted trees; 300, the functions' default, took over 7 minutes each on 8 cores
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -946,27 +945,16 @@ def train_logistic(spark, folder):
     return _test_metrics("Logistic Regression", classifiers.train_logistic(_parts(rows)[0], columns), rows)
 
 
-_FITTED: dict = {}
-
-
-def _depthwise(spark, folder, train, columns):
-    """The model that three queries share, fitted once for each session and folder."""
-    name = (spark.sparkContext.applicationId, folder)
-    if name not in _FITTED:
-        _FITTED[name] = classifiers.train_gbt_depthwise(train, columns, **ROUNDS)
-    return _FITTED[name]
-
-
 @query
 def train_gbt_depthwise(spark, folder):
     rows, columns = model_rows(spark, folder)
-    return _test_metrics("XGBoost", _depthwise(spark, folder, _parts(rows)[0], columns), rows)
+    return _test_metrics("XGBoost", classifiers.train_gbt_depthwise(_parts(rows)[0], columns), rows)
 
 
 @query
 def train_gbt_leaf_limited(spark, folder):
     rows, columns = model_rows(spark, folder)
-    return _test_metrics("LightGBM", classifiers.train_gbt_leaf_limited(_parts(rows)[0], columns, **ROUNDS), rows)
+    return _test_metrics("LightGBM", classifiers.train_gbt_leaf_limited(_parts(rows)[0], columns), rows)
 
 
 @query
@@ -976,6 +964,23 @@ def tune(spark, folder):
     return tuning.tune_logistic(train, valid, columns).trials
 
 
+TUNED_ROUNDS = {"n_estimators": ("int", 100, 200)}  # of the registered searches over trees; the functions search up to 800
+
+
+@query
+def tune_depthwise(spark, folder):
+    rows, columns = model_rows(spark, folder)
+    train, valid, _ = _parts(rows)
+    return tuning.tune_depthwise(train, valid, columns, narrow=TUNED_ROUNDS).trials
+
+
+@query
+def tune_leaf_limited(spark, folder):
+    rows, columns = model_rows(spark, folder)
+    train, valid, _ = _parts(rows)
+    return tuning.tune_leaf_limited(train, valid, columns, narrow=TUNED_ROUNDS).trials
+
+
 @query
 def evaluate_binary(spark, folder):
     return metrics.evaluate_binary(predictions(spark, folder), probability="xgboost_prob", by=["status"])
@@ -1037,14 +1042,14 @@ def _interest(spark, folder):
 @query
 def sequence_interest_model(spark, folder):
     ready = _interest(spark, folder)
-    return interest.score_interest(interest.train_interest_model(ready, **ROUNDS), ready)
+    return interest.score_interest(interest.train_interest_model(ready), ready)
 
 
 @query
 def training_history(spark, folder):
     rows, columns = model_rows(spark, folder)
     train, valid, _ = _parts(rows)
-    return classifiers.training_history(_depthwise(spark, folder, train, columns), valid)
+    return classifiers.training_history(classifiers.train_gbt_depthwise(train, columns), valid)
 
 
 @query
@@ -1073,7 +1078,7 @@ def stacking_weights(spark, folder):
 def tree_model_importance(spark, folder):
     rows, columns = model_rows(spark, folder)
     train, _, test = _parts(rows)
-    return explain.tree_model_importance(_depthwise(spark, folder, train, columns), test, columns)
+    return explain.tree_model_importance(classifiers.train_gbt_depthwise(train, columns), test, columns)
 
 
 @query

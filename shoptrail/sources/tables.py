@@ -75,7 +75,11 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
 
 
 def save_model(model, path: str) -> None:
-    model.write().overwrite().save(path)
+    """Spark ML models by their own writer, boosted trees as parquet."""
+    if hasattr(model, "write"):
+        model.write().overwrite().save(path)
+    else:
+        model.save(path)
 
 
 def load_model(path: str, kind=PipelineModel):
