@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +16,7 @@ from ..functions.draws import hash_cutoffs, hash_order, sample_exact, take_by_ha
 from ..session import materialize
 from .cleaning import replace_inf
 from .joins import flag_users, lookup_join, semi_join_users
+from .oversampling import smote_oversample  # noqa: F401
 
 _NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
@@ -163,84 +162,3 @@ def dataset_summary(stages: dict[str, DataFrame], events: DataFrame, label_days:
     return events.sparkSession.range(1).select(
         *[df.select(F.count("*")).scalar().alias(f"{name}_rows") for name, df in stages.items()],
         F.date_sub(newest, label_days).alias("feature_end_date"), newest.alias("label_end_date"))
-
-
-def smote_oversample(
-    train: DataFrame, columns: Sequence[str], label: str = "label", key: str = "user_id",
-    neighbors: int = 5, seed: int = K.SEED, block: int = 2048,
-) -> DataFrame:
-    """Synthetic minority rows until both labels are equally frequent.
-
-    A synthetic row lies between a minority row and one of its nearest minority neighbours;
-    which row, which neighbour and how far come from hashes. The neighbour search is exact:
-    a block of at most ``block`` base rows is broadcast, every task keeps the nearest few of
-    its own rows per base row, and only those candidates are shuffled.
-    """
-    counts = {r[label]: r["n"] for r in train.groupBy(label).agg(F.count("*").alias("n")).collect()}
-    if not {0, 1} <= set(counts):
-        raise ValueError("both labels are needed to oversample")
-    minority = 1 if counts[1] <= counts[0] else 0
-    missing = abs(counts[0] - counts[1])
-    columns = list(columns)
-    result = train.select(*columns, label)
-    if missing == 0:
-        return result
-    if counts[minority] < 2:
-        raise ValueError("the minority needs at least 2 rows")
-
-    rounds = -(-missing // counts[minority])
-    few = train.filter(F.col(label) == minority).select(
-        F.col(key).cast("string").alias("_key"), *[F.col(c).cast("double").alias(c) for c in columns])
-    # each minority row is a base floor(missing / rows) times, some once more
-    copies = few.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(rounds))))
-    full, rest = divmod(missing, counts[minority])
-    once_more = sample_exact(few, rest, ["_key"], seed).select("_key").withColumn("_extra", F.lit(True)) if rest else None
-    bases = copies.filter(F.col("_copy") <= full)
-    if once_more is not None:
-        last = few.join(once_more.select("_key"), "_key", "left_semi").withColumn("_copy", F.lit(rounds))
-        bases = bases.unionByName(last) if full else last
-    near = _nearest(few, bases.select("_key", *columns).dropDuplicates(["_key"]), columns, neighbors, block)
-
-    pick = F.pmod(F.xxhash64("_key", "_copy", F.lit(seed)), F.size("_near")).cast("int")
-    gap = (F.pmod(F.xxhash64("_key", "_copy", F.lit(seed + 1)), F.lit(2**31)) + 0.5) / F.lit(float(2**31))
-    joined = bases.join(near, "_key").withColumn("_other", F.get("_near", pick))
-    synthetic = joined.select(
-        *[(F.col(c) + gap * (F.get("_other", F.lit(j)) - F.col(c))).alias(c) for j, c in enumerate(columns)],
-        F.lit(minority).cast(train.schema[label].dataType).alias(label))
-    return result.select(*[F.col(c).cast("double").alias(c) for c in columns], label).unionByName(synthetic)
-
-
-def _nearest(points: DataFrame, bases: DataFrame, columns: list[str], k: int, block: int) -> DataFrame:
-    """(_key, _near): the ``k`` nearest other points of every base row."""
-    spark = points.sparkSession
-    blocks = max(1, -(-bases.count() // block))
-    bases = bases.withColumn("_block", F.pmod(F.xxhash64("_key"), F.lit(blocks)))
-    found = None
-    for number in range(blocks):
-        part = bases.filter(F.col("_block") == number).select("_key", *columns).toPandas()  # about ``block`` rows
-        shared = spark.sparkContext.broadcast((part["_key"].to_numpy(), part[columns].to_numpy(dtype=float)))
-
-        def local(batches, shared=shared):
-            """The task's own nearest points per base row, kept across batches."""
-            names, matrix = shared.value
-            best = [[] for _ in names]
-            for batch in batches:
-                own = batch[columns].to_numpy(dtype=float)
-                keys = batch["_key"].to_numpy()
-                distance = (matrix**2).sum(1)[:, None] - 2 * matrix @ own.T + (own**2).sum(1)[None, :]
-                distance[names[:, None] == keys[None, :]] = np.inf
-                take = min(k, own.shape[0])
-                nearest = np.argpartition(distance, take - 1, axis=1)[:, :take]
-                for i, chosen in enumerate(nearest):
-                    fresh = [(float(distance[i, j]), keys[j], own[j].tolist()) for j in chosen if np.isfinite(distance[i, j])]
-                    best[i] = sorted(best[i] + fresh)[:k]
-            rows = [(names[i], *found) for i, kept in enumerate(best) for found in kept]
-            yield pd.DataFrame(rows, columns=["_base", "_d", "_other", "_point"])
-
-        candidates = points.select("_key", *columns).mapInPandas(
-            local, "_base string, _d double, _other string, _point array<double>")
-        found = candidates if found is None else found.unionByName(candidates)
-    closest = Window.partitionBy("_base").orderBy("_d", "_other")
-    kept = found.withColumn("_place", F.row_number().over(closest)).filter(F.col("_place") <= k)
-    nearest = kept.groupBy("_base").agg(F.sort_array(F.collect_list(F.struct("_place", "_point"))).alias("_sorted"))
-    return nearest.select(F.col("_base").alias("_key"), F.col("_sorted._point").alias("_near"))

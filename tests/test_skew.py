@@ -62,18 +62,62 @@ def test_last_n_limits_before_the_shuffle(skewed):
     assert frame.filter("user_id = 1").count() == 5
 
 
+def _points(spark, values):
+    rows = [(str(i), [float(x) for x in p]) for i, p in enumerate(values)]
+    return spark.createDataFrame(rows, "_key string, _v array<double>").repartition(4)
+
+
 def test_smote_neighbours_match_brute_force(spark):
     import numpy as np
-    from shoptrail.operators.dataset import _nearest
+    from shoptrail.operators.oversampling import nearest
 
-    rng = np.random.default_rng(1)
-    points = rng.random((60, 3))
-    rows = [(str(i), *map(float, p)) for i, p in enumerate(points)]
-    df = spark.createDataFrame(rows, "_key string, a double, b double, c double").repartition(4)
-    got = {r["_key"]: r["_near"] for r in _nearest(df, df, ["a", "b", "c"], 5, 16).collect()}
+    points = np.random.default_rng(1).random((60, 3))
+    df = _points(spark, points)
+    got = {}
+    for r in nearest(df, df, 3, 5).collect():
+        got.setdefault(int(r["_base"]), {})[r["_place"]] = int(r["_other"])
     for i, p in enumerate(points):
         order = [j for j in np.argsort(((points - p) ** 2).sum(1)) if j != i][:5]
-        assert np.allclose(np.array(got[str(i)]), points[order])
+        assert [got[i][n] for n in range(1, 6)] == order
+
+
+def test_smote_neighbours_in_many_blocks(spark):
+    """Recall against brute force with blocks far smaller than the data; a third of the points are equal."""
+    import numpy as np
+    from shoptrail.operators.oversampling import blocks, nearest
+
+    rng = np.random.default_rng(2)
+    points = rng.normal(size=(3000, 8))
+    points[:1000] = 1.5
+    points[1000] = 900.0
+    df = _points(spark, points)
+    sizes = [r["count"] for r in blocks(df, 8, 5, 2, 128).groupBy("tree", "leaf").count().collect()]
+    assert max(sizes) <= 128 and min(sizes) > 5
+    found = nearest(df, df, 8, 5, size=128).collect()
+    assert len(found) == 15_000
+    hits = 0
+    true = {i: np.sort(((points - points[i]) ** 2).sum(1))[1:6] for i in range(len(points))}
+    for r in found:
+        hits += r["_d"] <= true[int(r["_base"])][-1] + 1e-9
+    assert hits / 15_000 >= 0.9
+
+
+def test_smote_plan_does_not_grow_with_the_data(spark):
+    plans = []
+    for n in (300, 3000):
+        df = spark.range(n).select(F.col("id").alias("user_id"), F.rand(1).alias("a"), F.rand(2).alias("b"), (F.col("id") % 5 == 0).cast("int").alias("label"))
+        plans.append(len(smote_oversample(df, ["a", "b"])._jdf.queryExecution().optimizedPlan().toString().splitlines()))
+    assert abs(plans[0] - plans[1]) <= 6
+
+
+def test_smote_of_gaps_and_repeats(spark):
+    rows = [(i, float(i), float(-i), 0) for i in range(40)] + [(100 + i % 6, float(i), 1.0, 1) for i in range(9)]
+    rows += [(None, 2.0, 3.0, 1), (200, None, 1.0, 1), (201, float("nan"), 1.0, 1)]
+    df = spark.createDataFrame(rows, "user_id long, a double, b double, label int")
+    out = smote_oversample(df, ["a", "b"])
+    assert {r["label"]: r["count"] for r in out.groupBy("label").count().collect()} == {0: 40, 1: 40}
+    made = out.exceptAll(df.select("a", "b", "label")).collect()
+    assert len(made) == 28 and all(0 <= r["a"] <= 8 and 1 <= r["b"] <= 3 for r in made)
 
 
 def test_smote_balances(spark):
