@@ -11,8 +11,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
+from pyspark.sql import DataFrame
 
 PIECE_BYTES = 1 << 20
+
+
+class Shipped:
+    """An object of this package for Python workers, by value: they need no copy of the package to read it."""
+
+    def __init__(self, df: DataFrame, value: object) -> None:
+        self.bytes = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def load(self):
+        return cloudpickle.loads(self.bytes.value)
+
+
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 

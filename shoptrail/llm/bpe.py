@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from .batches import Shipped
+
 # fixed values: the split pattern of this vocabulary family, with Unicode's White_Space written out
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 PATTERN = (
@@ -375,10 +377,10 @@ def encode(df: DataFrame, path: str, text: str = "text", ids: str = "ids", keep:
     keep = list(df.columns if keep is None else keep)
     if ids in keep:
         raise ValueError(f"column {ids} exists")
-    shared = df.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    shared = Shipped(df, Vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder = Encoder(shared.load())
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -396,10 +398,10 @@ def decode(df: DataFrame, path: str, ids: str = "ids", text: str = "text") -> Da
     """All columns of ``df`` and the text of its token ids; special tokens are written out."""
     if text in df.columns:
         raise ValueError(f"column {text} exists")
-    shared = df.sparkSession.sparkContext.broadcast(Vocabulary(path))
+    shared = Shipped(df, Vocabulary(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = shared.value
+        v = shared.load()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

@@ -76,19 +76,20 @@ def fingerprint(text: Column) -> Column:
     return F.transform(F.array(hashed), summed)[0]
 
 
-def _combined(fingerprint_: Column, block: Column, sign: int) -> Column:
-    parts = zip(_vector(F.trim(block)), _masks(), strict=True)
-    return F.array(*[(fingerprint_[i] + sign * v).bitwiseAND(F.lit(mask)) for i, (v, mask) in enumerate(parts)])
+def _combined(one: Column, other: Column, sign: int) -> Column:
+    # no lane of a pair carries or borrows: counts stay below 2^30, and none is larger than the one it is taken from
+    masks = F.array(*[F.lit(m).cast("bigint") for m in _masks()])
+    return F.zip_with(F.zip_with(one, other, lambda x, y: x + sign * y), masks, lambda x, m: x.bitwiseAND(m))
 
 
-def insert(fingerprint_: Column, block: Column) -> Column:
-    """The fingerprint after one more block."""
-    return _combined(fingerprint_, block, 1)
+def insert(fingerprint_: Column, paragraph: Column) -> Column:
+    """The fingerprint after one more paragraph, of any number of blocks; null adds nothing."""
+    return _combined(fingerprint_, fingerprint(paragraph), 1)
 
 
-def delete(fingerprint_: Column, block: Column) -> Column:
-    """The fingerprint without one block that it holds."""
-    return _combined(fingerprint_, block, -1)
+def delete(fingerprint_: Column, paragraph: Column) -> Column:
+    """The fingerprint without a paragraph that it holds."""
+    return _combined(fingerprint_, fingerprint(paragraph), -1)
 
 
 def written(fingerprint_: Column) -> Column:

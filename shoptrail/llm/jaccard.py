@@ -37,7 +37,7 @@ from math import exp, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -450,5 +450,7 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold
     gone = rows.join(first, "component").filter(F.col("_row") != F.col("first._row")).select("_row").distinct()
     left = docs.withColumn("__row__", F.xxhash64(key, text)).join(gone, F.col("__row__") == F.col("_row"), "left_anti")
     if rows.groupBy("_row").count().filter("count > 1").limit(1).count():
-        left = left.dropDuplicates(["__row__"])
+        # rows of one key and text: the same one in every run, limited before the shuffle
+        place = F.row_number().over(Window.partitionBy("__row__").orderBy(F.xxhash64(*docs.columns)))
+        left = left.withColumn("__place__", place).filter("__place__ = 1")
     return left.select(*docs.columns)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .batches import lowered, pieces
+from .batches import Shipped, lowered, pieces
 from .sampling import about_each
 
 WINDOW = 256
@@ -177,10 +177,11 @@ def predict(df: DataFrame, net: Network | None, text: str = "text", keep: list[s
         raise ValueError(f"a column of {out} exists")
     if net is None:
         return df.select(*keep, F.lit(UNKNOWN).alias(out[0]), F.lit(0.0).alias(out[1]))
-    shared = df.sparkSession.sparkContext.broadcast(net)  # a few thousand numbers
+    shared = Shipped(df, net)  # a few thousand numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net, tables = shared.value, shared.value.tables()
+        net = shared.load()
+        tables = net.tables()
         for batch in batches:
             column = batch.column(batch.schema.names.index(text))
             names, scores = [], []

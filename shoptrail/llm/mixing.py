@@ -155,10 +155,11 @@ class _of:
 
 def mixed(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The documents of the mix, each as often as it is taken, with the columns they came with."""
-    marked = docs.withColumns({"__id__": F.to_json(F.struct(F.col(key))), "__t__": F.xxhash64(F.col(text))})
-    nth = F.row_number().over(Window.partitionBy("__id__", "__t__").orderBy(F.xxhash64(*docs.columns)))
-    sized = marked.select("__id__", "__t__", F.col(source).alias("source"), words(F.col(text)).alias("size")).withColumn(
-        "__nth__", F.row_number().over(Window.partitionBy("__id__", "__t__").orderBy("source", "size")))
-    taken = mix(sized, ["__id__", "__t__", "__nth__"], **options).filter("copies > 0").select("__id__", "__t__", "__nth__", "copies")
-    repeated = marked.withColumn("__nth__", nth).join(taken, ["__id__", "__t__", "__nth__"])
+    # a row is known by its key, the hash of all its columns and its number among rows that agree in all of them
+    names = ["__id__", "__h__", "__nth__"]
+    marked = docs.withColumns({"__id__": F.to_json(F.struct(F.col(key))), "__h__": F.xxhash64(*docs.columns)})
+    marked = marked.withColumn("__nth__", F.row_number().over(Window.partitionBy("__id__", "__h__").orderBy("__h__")))
+    sized = marked.select(*names, F.col(source).alias("source"), words(F.col(text)).alias("size"))
+    taken = mix(sized, names, **options).filter("copies > 0").select(*names, "copies")
+    repeated = marked.join(taken, names)
     return repeated.withColumn("__copy__", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)

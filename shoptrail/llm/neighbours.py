@@ -11,7 +11,7 @@ Lists and their queries are dealt into blocks of at most ``BLOCK`` rows, so no t
 
 Vectors that are null, zero, of another length than most, or hold a null or a component that isn't finite take no part. Ties go
 to the smaller id. An id that repeats with equal vectors counts once; with different vectors, each is a candidate. A query with fewer candidates than
-asked for gets them all that its lists hold; with one list (few vectors) the search is exact.
+asked for gets them all that its lists hold; with at most ``LIST_SIZE`` vectors there is one list, and the search is exact.
 """
 
 from __future__ import annotations
@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .batches import Shipped
 from .sampling import about
 
 LIST_SIZE = 200
@@ -35,7 +36,6 @@ PROBE_RATIO = 1.6
 PROBES = 64
 BEAM = 80
 BLOCK = 4_000
-EXACT_BELOW = 1_000  # vectors that make one list
 
 
 @dataclass
@@ -131,14 +131,15 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 def _listed(df: DataFrame, index: Centroids, lists_of, schema_keep: list[str]) -> DataFrame:
     """A row for each list of each vector."""
-    shared = df.sparkSession.sparkContext.broadcast(index)  # at most MAX_LISTS centroids and links
+    shared = Shipped(df, index)  # at most MAX_LISTS centroids and links
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.load()
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 x = _unit(_matrix(part.column(part.schema.names.index("vector"))))
-                which, ids = lists_of(shared.value, x)
+                which, ids = lists_of(index, x)
                 taken = part.take(pa.array(which))
                 yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(ids, pa.int64())], names=[*schema_keep, "list"])
 
@@ -181,7 +182,7 @@ def search(df: DataFrame, queries: Column, k: int = 5, key: str = "vec_id", vect
     classes = classes.groupBy("vector").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     classes = classes.withColumn("h", F.xxhash64("vector"))
     total = classes.count()
-    lists = 1 if total <= EXACT_BELOW else min(MAX_LISTS, -(-total // LIST_SIZE))
+    lists = min(MAX_LISTS, max(1, -(-total // LIST_SIZE)))
     sample = about(classes.select("h", "vector"), "h", max(lists * PER_LIST, 1)).select("h", "vector").toArrow().combine_chunks()
     x = _unit(_matrix(sample.column("vector").combine_chunks()))[np.argsort(sample.column("h").to_numpy(), kind="stable")]
     index = Centroids.of(balanced_centroids(x, lists))

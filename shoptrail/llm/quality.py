@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .batches import Powers, lowered, pieces, span_hashes, word_spans
+from .batches import Powers, Shipped, lowered, pieces, span_hashes, word_spans
 from .sampling import about
 
 LABELLED = 20_000
@@ -222,13 +222,14 @@ def score(df: DataFrame, model: CoTrained, text: str = "text", source: str = "so
     keep = list(df.columns if keep is None else keep)
     if out in keep:
         raise ValueError(f"column {out} exists")
-    shared = df.sparkSession.sparkContext.broadcast(model)  # a few hundred numbers
+    shared = Shipped(df, model)  # a few hundred numbers
     numbered = measured(df, keep, text, source, lang)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.load()
         for batch in batches:
             flat = batch.column(len(keep)).flatten().to_numpy()
-            scores = shared.value.scores(flat.reshape(batch.num_rows, -1)) if batch.num_rows else np.zeros(0)
+            scores = model.scores(flat.reshape(batch.num_rows, -1)) if batch.num_rows else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(scores, pa.float64())], names=[*keep, out])
 
     return numbered.mapInArrow(run, T.StructType([*[df.schema[c] for c in keep], T.StructField(out, T.DoubleType())]))

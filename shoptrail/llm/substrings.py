@@ -10,7 +10,7 @@ are hashed over their lower-cased words and joined over all documents; of a repe
 smallest key, and there the first, stays, and the words covered by any other are removed: whole sentences, or from an anchor on
 ``PASSAGE`` words (where these overlap the first, only those after it). A sentence counts as removed when all its words are.
 
-Null and empty texts and texts shorter than a span have none and stay as they are; a text that loses all sentences becomes empty
+Keys that are no whole numbers are ordered by a hash. Null and empty texts and texts shorter than a span have none and stay as they are; a text that loses all sentences becomes empty
 and its row stays. A null key sorts before all others. Rows that repeat a key are one document: equal ones are treated
 alike, and a span in several of them counts as one. Texts that lose nothing stay byte for byte; what is left of others is their
 remaining words with the white space after each. Other columns are handed on.
@@ -127,7 +127,8 @@ def repeated(docs: DataFrame) -> DataFrame:
 
 def dedup(df: DataFrame, key: str = "doc_id", text: str = "text", counts: tuple[str, str] | None = None) -> DataFrame:
     """``df`` with the texts that are left; ``counts`` names columns for the number of sentences and of removed ones."""
-    keyed = df.withColumn("__key__", F.coalesce(F.col(key).cast("bigint"), F.lit(_NULL_KEY)))
+    whole = dict(df.dtypes)[key] in ("tinyint", "smallint", "int", "bigint")
+    keyed = df.withColumn("__key__", F.coalesce(F.col(key).cast("bigint") if whole else F.when(F.col(key).isNotNull(), F.xxhash64(key)), F.lit(_NULL_KEY)))
     marks = repeated(keyed.select("__key__", F.col(text).alias("__text__"))).withColumnRenamed("key", "__marked__")
     joined = keyed.join(marks, F.col("__key__") == F.col("__marked__"), "left").select(*df.columns, "__spans__")
     names, extra = df.columns, list(counts or ())

@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .batches import Shipped
 from .sampling import about
 
 LABELLED = 20_000
@@ -82,26 +83,130 @@ def symbols_of(grammar: Grammar, word: str) -> tuple[str, float] | None:
     return None
 
 
+@dataclass(frozen=True)
+class Transducer:
+    """A letter-to-letter transducer: for (state, input) the possible (output, next state)."""
+
+    starts: frozenset
+    finals: frozenset
+    arcs: dict
+
+    def compose(self, other: Transducer) -> Transducer:
+        """Reads what this one reads and writes what ``other`` makes of its output."""
+        arcs: dict = {}
+        starts = frozenset((p, q) for p in self.starts for q in other.starts)
+        todo, seen = list(starts), set(starts)
+        letters = {letter for _, letter in self.arcs}
+        while todo:
+            p, q = todo.pop()
+            for letter in letters:
+                found = [(out, (p_next, q_next)) for middle, p_next in self.arcs.get((p, letter), ()) for out, q_next in other.arcs.get((q, middle), ())]
+                if found:
+                    arcs[(p, q), letter] = found
+                for _, state in found:
+                    if state not in seen:
+                        seen.add(state)
+                        todo.append(state)
+        return Transducer(starts, frozenset((p, q) for p, q in seen if p in self.finals and q in other.finals), arcs)
+
+
+LETTERS = ["", "insult", "threat", "target", "negation", "report"]  # what a word may be; "" is any other word
+
+
+def _reach(opens: str, covers: dict[str, str], letters: list[str]) -> Transducer:
+    """Rewrites the letters in ``covers`` for as long as the last ``opens`` reaches; states count down."""
+    arcs = {}
+    for state in range(REACH + 1):
+        left = max(state - 1, 0)
+        for letter in letters:
+            arcs[state, letter] = [("", REACH)] if letter == opens else [(covers[letter] if left and letter in covers else letter, left)]
+    return Transducer(frozenset([0]), frozenset(range(REACH + 1)), arcs)
+
+
+def _target(letters: list[str]) -> Transducer:
+    """Guesses whether the clause has a target and is right at its end: insults are aimed and threats count only then."""
+    arcs = {}
+    for state in ("none", "unseen", "seen"):
+        for letter in letters:
+            if letter == "target":
+                found = [] if state == "none" else [("", "seen")]
+            elif state == "none":
+                found = [("" if letter == "threat" else letter, state)]
+            else:
+                found = [("aimed insult" if letter == "insult" else letter, state)]
+            if found:
+                arcs[state, letter] = found
+    return Transducer(frozenset(["none", "unseen"]), frozenset(["none", "seen"]), arcs)
+
+
+def _writes(named: set[str], letters: list[str], others: set[str]) -> Transducer:
+    """Keeps the letters in ``named`` as emissions, hands ``others`` on and blanks the rest."""
+    return Transducer(frozenset([0]), frozenset([0]), {(0, x): [(x if x in named | others else "", 0)] for x in letters})
+
+
+def parts() -> list[Transducer]:
+    """Negation, reported speech, target, insult and threat, in the order in which they are composed."""
+    after_negation = ["", "insult", "negated insult", "threat", "target", "report"]
+    after_report = ["", "insult", "negated insult", "reported insult", "threat", "target"]
+    after_target = ["", "insult", "aimed insult", "negated insult", "reported insult", "threat"]
+    insults = set(ARCS) - {"threat"}
+    return [
+        _reach("negation", {"insult": "negated insult", "threat": ""}, LETTERS),
+        _reach("report", {"insult": "reported insult"}, after_negation),
+        _target(after_report),
+        _writes(insults, after_target, {"threat"}),
+        _writes({"threat"}, after_target, insults),
+    ]
+
+
+@dataclass(frozen=True)
+class Table:
+    """The composed transducer as rows: for each state and letter the next state and the arc it emits, -1 for none."""
+
+    starts: list[int]
+    finals: frozenset
+    next: list[list[int]]
+    emit: list[list[int]]
+
+    @classmethod
+    def of(cls, machine: Transducer) -> Table:
+        states = sorted({*machine.starts, *[t for found in machine.arcs.values() for _, t in found]}, key=repr)
+        number = {state: i for i, state in enumerate(states)}
+        following, emits = ([[-1] * len(LETTERS) for _ in states] for _ in range(2))
+        for (state, letter), found in machine.arcs.items():
+            (out, to), = found  # after its guess at the start, the machine has one way to go
+            following[number[state]][LETTERS.index(letter)] = number[to]
+            emits[number[state]][LETTERS.index(letter)] = ARCS.index(out) if out else -1
+        return cls([number[s] for s in sorted(machine.starts, key=repr)], frozenset(number[s] for s in machine.finals), following, emits)
+
+    def run(self, letters: list[int], weights: list[float]) -> np.ndarray:
+        """The summed weight of each arc along the one accepted path."""
+        for state in self.starts:
+            emitted = np.zeros(len(ARCS))
+            for letter, weight in zip(letters, weights, strict=True):
+                if (arc := self.emit[state][letter]) >= 0:
+                    emitted[arc] += weight
+                if (state := self.next[state][letter]) < 0:
+                    break
+            if state in self.finals:
+                return emitted
+        raise AssertionError("no path")
+
+
+def composed() -> Table:
+    machine, *others = parts()
+    for other in others:
+        machine = machine.compose(other)
+    return Table.of(machine)
+
+
+TABLE = composed()
+
+
 def walk(grammar: Grammar, clause: str) -> np.ndarray:
     """What the composed transducer emits for one clause: the summed weight of each arc."""
-    emitted = np.zeros(len(ARCS))
-    denied = told = 0
-    read = [symbols_of(grammar, w) for w in _WORD.findall(clause)]
-    aimed = any(s and s[0] == "target" for s in read)
-    for symbol in read:
-        denied, told = max(denied - 1, 0), max(told - 1, 0)
-        if symbol is None or symbol[0] == "target":
-            continue
-        name, weight = symbol
-        if name == "negation":
-            denied = REACH
-        elif name == "report":
-            told = REACH
-        elif name == "insult":
-            emitted[2 if denied else 3 if told else 1 if aimed else 0] += weight
-        elif aimed and not denied:
-            emitted[4] += weight
-    return emitted
+    read = [symbols_of(grammar, w) or ("", 0.0) for w in _WORD.findall(clause)]
+    return TABLE.run([LETTERS.index(name) for name, _ in read], [weight for _, weight in read])
 
 
 def features(grammar: Grammar, automaton, text: str | None) -> np.ndarray:
@@ -227,12 +332,13 @@ def learn(df: DataFrame, text: str = "text", label: str = "toxic", key: str = "d
         np.zeros(2 * len(ARCS)), toxic / (toxic + clean))
     if not chosen:
         return grammar
-    shared = df.sparkSession.sparkContext.broadcast(grammar)
+    shared = Shipped(df, grammar)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = shared.value.automaton()
+        grammar = shared.load()
+        automaton = grammar.automaton()
         for batch in batches:
-            found = [features(shared.value, automaton, v).tolist() for v in batch.column(1).to_pylist()]
+            found = [features(grammar, automaton, v).tolist() for v in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.float64()))], names=["label", "found"])
 
     rows = labelled.select("_label", "_text").mapInArrow(measure, "label int, found array<double>").toPandas()
@@ -247,10 +353,10 @@ def score(df: DataFrame, grammar: Grammar, text: str = "text", keep: list[str] |
     keep = list(df.columns if keep is None else keep)
     if out in keep:
         raise ValueError(f"column {out} exists")
-    shared = df.sparkSession.sparkContext.broadcast(grammar)  # at most MAX_ENTRIES entries
+    shared = Shipped(df, grammar)  # at most MAX_ENTRIES entries
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grammar = shared.value
+        grammar = shared.load()
         automaton = grammar.automaton()
         for batch in batches:
             scores = []

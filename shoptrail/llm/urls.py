@@ -97,7 +97,7 @@ class UrlModel:
 def train(labelled: DataFrame, url: str = "url", label: str = "label", trees: int = 10, depth: int = 4) -> UrlModel:
     """A model from (url, label), 1 for bad; other labels are left out."""
     known = labelled.filter(F.col(label).isin(0, 1)).select(F.col(url).alias("_url"), F.col(label).cast("double").alias("_label"))
-    sample = lexical(about(known, "_url", LABELLED), "_url")
+    sample = materialize(lexical(about(known, "_url", LABELLED), "_url"))  # a bounded number of rows, read by the sums and the fit
     sums = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("_label"), F.lit(0.0)).alias("bad")).first()
     if not sums["bad"] or sums["bad"] == sums["n"]:
         return UrlModel(None, None, "block" if sums["bad"] else "allow")
@@ -110,11 +110,20 @@ def train(labelled: DataFrame, url: str = "url", label: str = "label", trees: in
         suffixes = suffixes.hint("broadcast")
     model = UrlModel(None, suffixes, share=share)
     fitted = GBTClassifier(featuresCol="_vector", labelCol="_label", predictionCol="_bad",
-                           maxIter=trees, maxDepth=depth, seed=7).fit(_assembled(sample, model))
+                           maxIter=trees, maxDepth=depth, seed=7).fit(_without_own(sample, counts, share))
     model.trees = fitted
     return model
 
 
+def _without_own(sample: DataFrame, counts: DataFrame, share: float) -> DataFrame:
+    """The sample with the statistics of each row's suffix over all other labelled urls, so that no row tells its own label."""
+    few = counts.hint("broadcast") if counts.count() <= BROADCAST_SUFFIXES else counts
+    joined = sample.join(few, F.col("suffix") == F.col("_suffix"))
+    others = joined.withColumns({
+        "suffix_rows": F.log1p(F.col("n") - 1), "suffix_bad": (F.col("bad") - F.col("_label") + 20 * share) / (F.col("n") + 19)})
+    return VectorAssembler(inputCols=FEATURES, outputCol="_vector").transform(others)
+
+
 def _assembled(df: DataFrame, model: UrlModel) -> DataFrame:
     joined = df.join(model.suffixes, F.col("suffix") == F.col("_suffix"), "left").fillna({"suffix_rows": 0.0, "suffix_bad": model.share})
     return VectorAssembler(inputCols=FEATURES, outputCol="_vector").transform(joined)
