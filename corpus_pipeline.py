@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shoptrail.llm import bpe, jaccard, mixing, quality, substrings
 from shoptrail.llm.queries import table, tokenizer_path
-from shoptrail.session import stored
+from shoptrail.session import discard, stored
 
 NEAR_SHINGLE, NEAR_THRESHOLD = 5, 80  # op2_jaccard has a contract of its own: 4 words, 85
 
@@ -50,7 +50,10 @@ ORACLE_SQL = None  # trained models, a Newton iteration and a tokenizer: tested
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, written = table(spark, sf_dir, "documents"), None
     for _, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir))
+        if written is not None:
+            discard(written)  # the stage that read it is written
+        written = docs
     return STAGES[-1][1](spark, docs, sf_dir)
