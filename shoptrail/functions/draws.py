@@ -26,35 +26,39 @@ def hash_order(keys: Sequence[str], seed: int = SEED) -> Column:
     return F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed))))
 
 
-def hash_cutoffs(df: DataFrame, keys: Sequence[str], quotas: DataFrame, by: Sequence[str], seed: int = SEED) -> DataFrame:
-    """Per group the digest of its ``quota``-th row, as ``(by…, quota, cutoff, at_cutoff, ties)``.
+def hash_cutoffs(
+    df: DataFrame, keys: Sequence[str], quotas: DataFrame, by: Sequence[str], seed: int = SEED, each: Sequence[str] = (),
+) -> DataFrame:
+    """Per group the digest of its ``quota``-th row, as ``(by…, each…, quota, cutoff, at_cutoff, ties)``.
 
-    ``quotas`` has one row per group; NULL is a group. ``keys`` identify a row; where they repeat, ``ties`` rows share the
+    ``quotas`` has one row per group, or one for each ``each`` in it, which are all found in one search; NULL is a group. ``keys`` identify a row; where they repeat, ``ties`` rows share the
     cutoff and the quota takes ``at_cutoff`` of them.
     """
-    by = list(by)
+    by, each = list(by), list(each)
     digests = df.select(*by, hash_order(keys, seed).alias("_h"))
-    edge = quotas.select(*by, F.col("quota").alias("_need"), F.lit("").alias("_slot"), F.lit(None).cast("bigint").alias("_size"))
+    edge = quotas.select(*by, *each, F.col("quota").alias("_need"), F.lit("").alias("_slot"), F.lit(None).cast("bigint").alias("_size"))
     for length in range(_STEP, _DIGITS + 1, _STEP):
         prefix = F.substring("_h", 1, length)
-        inside = digests if length == _STEP else join_groups(digests.withColumn("_slot", F.substring("_h", 1, length - _STEP)), edge.select(*by, "_slot"), [*by, "_slot"])
-        slots = inside.withColumn("_next", prefix).groupBy(*by, "_next").agg(F.count("*").alias("_n"))
-        earlier = Window.partitionBy(*by).orderBy("_next").rowsBetween(Window.unboundedPreceding, -1)
+        slotted = digests.withColumn("_slot", F.substring("_h", 1, length - _STEP))
+        inside = slotted if length == _STEP else join_groups(slotted, edge.select(*by, "_slot").distinct(), [*by, "_slot"])
+        slots = inside.withColumn("_next", prefix).groupBy(*by, "_slot", "_next").agg(F.count("*").alias("_n"))
+        earlier = Window.partitionBy(*by, "_slot").orderBy("_next").rowsBetween(Window.unboundedPreceding, -1)
         slots = slots.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        edge = materialize(join_groups(slots, edge.select(*by, "_need"), by).filter(
+        edge = materialize(join_groups(slots, edge.select(*by, *each, "_slot", "_need"), [*by, "_slot"]).filter(
             (F.col("_before") < F.col("_need")) & (F.col("_need") <= F.col("_before") + F.col("_n"))
-        ).select(*by, (F.col("_need") - F.col("_before")).alias("_need"), F.col("_next").alias("_slot"), F.col("_n").alias("_size")))
+        ).select(*by, *each, (F.col("_need") - F.col("_before")).alias("_need"), F.col("_next").alias("_slot"), F.col("_n").alias("_size")))
         if length == _DIGITS or edge.filter(F.col("_size") > _SLOT_ROWS).isEmpty():
             break
     # at most one slot per group, of a bounded number of rows unless a key repeats more often than that
-    inside = join_groups(digests.withColumn("_slot", F.substring("_h", 1, length)), edge.drop("_size"), [*by, "_slot"])
-    position = Window.partitionBy(*by).orderBy("_h")
-    counted = inside.groupBy(*by, "_h", "_need").agg(F.count("*").alias("ties"))
+    inside = join_groups(digests.withColumn("_slot", F.substring("_h", 1, length)), edge.select(*by, "_slot").distinct(), [*by, "_slot"])
+    position = Window.partitionBy(*by, "_slot").orderBy("_h")
+    counted = inside.groupBy(*by, "_slot", "_h").agg(F.count("*").alias("ties"))
     below = F.coalesce(F.sum("ties").over(position.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    cut = counted.withColumn("_below", below).filter((F.col("_below") < F.col("_need")) & (F.col("_need") <= F.col("_below") + F.col("ties")))
-    cut = cut.select(*by, "_h", (F.col("_need") - F.col("_below")).alias("at_cutoff"), "ties")
-    return join_groups(quotas, cut, by, "left").select(
-        *by, "quota",
+    placed = join_groups(counted.withColumn("_below", below), edge.drop("_size"), [*by, "_slot"])
+    cut = placed.filter((F.col("_below") < F.col("_need")) & (F.col("_need") <= F.col("_below") + F.col("ties")))
+    cut = cut.select(*by, *each, "_h", (F.col("_need") - F.col("_below")).alias("at_cutoff"), "ties")
+    return join_groups(quotas, cut, [*by, *each], "left").select(
+        *by, *each, "quota",
         F.when(F.col("quota") <= 0, "").otherwise(F.coalesce("_h", F.lit(_EVERYTHING))).alias("cutoff"), "at_cutoff", "ties")
 
 

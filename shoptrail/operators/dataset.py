@@ -95,14 +95,13 @@ def stratified_split(
     percents: tuple[int, int] = (70, 20), seed: int = K.SEED,
 ) -> DataFrame:
     """Adds ``split``: per label the first 70 % in hash order train, the next 20 % validate, the rest test."""
-    counts = materialize(dataset.groupBy(label).agg(F.count("*").alias("n")))  # one row per label, NULL is one
-
-    def cut(percent, name):
-        quota = F.floor(F.col("n") * percent / 100).cast("bigint")
-        cutoffs = hash_cutoffs(dataset, keys, counts.select(label, quota.alias("quota")), [label], seed)
-        return cutoffs.select(label, F.col("cutoff").alias(name))
-
-    cuts = join_groups(cut(percents[0], "_train"), cut(sum(percents), "_valid"), [label])
+    counts = dataset.groupBy(label).agg(F.count("*").alias("n"))  # one row per label, NULL is one
+    ends = F.explode(F.array(*[F.struct(F.lit(n).alias("end"), F.lit(p).alias("percent")) for n, p in (("train", percents[0]), ("valid", sum(percents)))]))
+    quotas = materialize(counts.select(label, "n", ends.alias("_e")).select(
+        label, F.col("_e.end").alias("_end"), F.floor(F.col("n") * F.col("_e.percent") / 100).cast("bigint").alias("quota")))
+    cutoffs = hash_cutoffs(dataset, keys, quotas, [label], seed, ["_end"])
+    of = lambda end: F.max(F.when(F.col("_end") == end, F.col("cutoff")))
+    cuts = materialize(cutoffs.groupBy(label).agg(of("train").alias("_train"), of("valid").alias("_valid")))
     digest = hash_order(keys, seed)
     joined = join_groups(dataset, cuts, [label])
     split = F.when(digest <= F.col("_train"), "train").when(digest <= F.col("_valid"), "valid").otherwise("test")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -111,10 +113,11 @@ def flag_users(df: DataFrame, users: DataFrame, name: str) -> DataFrame:
     return df.join(marks, "user_id", "left").withColumn(name, F.coalesce("_mark", F.lit(0))).drop("_mark")
 
 
-def label_pair_join(candidates: DataFrame, buyers: DataFrame) -> DataFrame:
-    """Label 1 for (user, item) pairs found among the buyers, else 0."""
-    marks = buyers.select("user_id", "item_id").distinct().withColumn("_mark", F.lit(1))
-    joined = candidates.join(marks, ["user_id", "item_id"], "left")
+def label_pair_join(candidates: DataFrame, buyers: DataFrame, also: Sequence[str] = ()) -> DataFrame:
+    """Label 1 for (user, item) pairs, within equal ``also``, found among the buyers, else 0."""
+    pair = ["user_id", "item_id", *also]
+    marks = buyers.select(*pair).distinct().withColumn("_mark", F.lit(1))
+    joined = candidates.join(marks, pair, "left")
     return joined.withColumn("label", F.coalesce("_mark", F.lit(0))).drop("_mark")
 
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
-from ..functions.columns import events_between
+from ..functions.columns import events_between, start_of
 from ..functions.draws import take_by_hash
 from ..functions.ordering import global_rank
 from ..session import materialize
@@ -48,39 +50,46 @@ def choose_cutoffs(events: DataFrame, history_days: int = 7, label_days: int = 3
         end.alias("test_cutoff"))
 
 
-def build_samples(
-    events: DataFrame, cutoff: Column, split: str,
-    history_days: int = 7, label_days: int = 3, negative_ratio: int = 3, max_len: int = 50,
+def build_windows(
+    events: DataFrame, cutoffs: dict[str, Column], history_days: int = 7, label_days: int = 3, negative_ratio: int = 3, max_len: int = 50,
     seed: int = K.SEED, with_sequences: bool = True,
 ) -> DataFrame:
-    """Pairs seen in the history window, labelled by a purchase in the label window.
+    """Pairs seen in the history window before each cutoff, labelled by a purchase in the label window after it.
 
-    Negatives are drawn to at most ``negative_ratio`` per positive. The labelled pairs are fixed
-    once because counting, cutting and drawing all read them.
+    Every event goes into the windows that hold it, so one scan, one labelling and one draw serve all cutoffs. Negatives are drawn
+    to at most ``negative_ratio`` per positive. The labelled pairs are fixed once because counting, cutting and drawing read them.
     """
-    history = events_between(events, F.date_sub(cutoff, history_days), cutoff)
-    future = events_between(events, cutoff, F.date_add(cutoff, label_days))
-    pairs = history.select("user_id", "item_id", "item_category").distinct()
-    labelled = materialize(label_pair_join(pairs, future.filter(F.col("behavior_type") == K.BUY)))
-
-    counts = labelled.agg(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n"))
+    spans = [(F.date_sub(day, history_days), F.date_add(day, label_days)) for day in cutoffs.values()]
+    near = functools.reduce(lambda a, b: a | b, [(F.col("time") >= start_of(a)) & (F.col("time") < start_of(b)) for a, b in spans])
+    windows = F.array(*[F.struct(F.lit(name).alias("split"), day.cast("date").alias("cutoff_time")) for name, day in cutoffs.items()])
+    placed = events.filter(near).select("*", F.explode(windows).alias("_w")).select(*events.columns, "_w.split", "_w.cutoff_time")
+    who = F.when(F.col("user_id").isNotNull(), F.concat_ws("|", "split", F.col("user_id").cast("string")))
+    history = events_between(placed, F.date_sub("cutoff_time", history_days), F.col("cutoff_time")).withColumn("_who", who)
+    future = events_between(placed, F.col("cutoff_time"), F.date_add("cutoff_time", label_days))
+    pairs = history.select("user_id", "item_id", "item_category", "cutoff_time", "split").distinct()
+    labelled = materialize(label_pair_join(pairs, future.filter(F.col("behavior_type") == K.BUY), ["split"]))
+
+    counts = labelled.groupBy("split").agg(F.count_if(F.col("label") == 1).alias("p"), F.count_if(F.col("label") == 0).alias("n"))
     wanted = F.least("n", F.col("p") * negative_ratio)
     negatives = F.when((F.col("p") > 0) & F.lit(negative_ratio > 0), wanted).otherwise(F.col("n"))
-    quotas = counts.select(F.inline(F.array(
+    quotas = counts.select("split", F.inline(F.array(
         F.struct(F.lit(0).alias("label"), negatives.alias("quota")),
         F.struct(F.lit(1).alias("label"), F.col("p").alias("quota")))))
-    drawn = take_by_hash(labelled, ["user_id", "item_id", "item_category"], quotas, ["label"], seed)
-    drawn = drawn.withColumns({"cutoff_time": cutoff, "split": F.lit(split)})
+    drawn = take_by_hash(labelled, ["user_id", "item_id", "item_category"], quotas, ["split", "label"], seed)
+    drawn = drawn.select("user_id", "item_id", "item_category", "label", "cutoff_time", "split")
     if not with_sequences:
         return drawn
-    return hot_key_join(drawn, last_n_sequence(history, max_len), "user_id")
+    return hot_key_join(drawn.withColumn("_who", who), last_n_sequence(history, max_len, key="_who"), "_who").drop("_who")
+
+
+def build_samples(events: DataFrame, cutoff: Column, split: str, **options) -> DataFrame:
+    """``build_windows`` for one cutoff."""
+    return build_windows(events, {split: cutoff}, **options)
 
 
 def build_time_split_dataset(events: DataFrame, **options) -> DataFrame:
     """Train, validation and test samples at the three chosen cutoffs."""
     windows = {k: options[k] for k in ("history_days", "label_days") if k in options}
-    cutoffs = choose_cutoffs(events, **windows)
-    parts = [
-        build_samples(events, cutoffs.select(f"{name}_cutoff").scalar(), name, **options)
-        for name in ("train", "val", "test")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    days = choose_cutoffs(events, **windows).first()  # one row
+    cutoffs = {name: F.lit(days[f"{name}_cutoff"] if days else None).cast("date") for name in ("train", "val", "test")}
+    return build_windows(events, cutoffs, **options)

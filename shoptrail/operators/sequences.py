@@ -78,26 +78,26 @@ def behavior_transition_matrix(events: DataFrame, **split) -> DataFrame:
         "transition_probability", ratio_or_null(F.col("transition_count"), F.col("previous_behavior_total")))
 
 
-def last_n_events(events: DataFrame, n: int = 50) -> DataFrame:
-    """The last ``n`` events of each user with ``position`` 1 for the latest.
+def last_n_events(events: DataFrame, n: int = 50, key: str = "user_id") -> DataFrame:
+    """The last ``n`` events of each user (or other key) with ``position`` 1 for the latest.
 
     The row_number filter becomes a group limit before the shuffle: a task sends at most ``n``
     rows per user, however many that user has.
     """
-    latest = Window.partitionBy("user_id").orderBy(F.desc("time"), F.desc("item_id"), F.desc("behavior_type"))
+    latest = Window.partitionBy(key).orderBy(F.desc("time"), F.desc("item_id"), F.desc("behavior_type"))
     return events.withColumn("position", F.row_number().over(latest)).filter(F.col("position") <= n)
 
 
 def last_n_sequence(
     events: DataFrame, n: int = 50,
-    item: str = "item_id", category: str = "item_category", behavior: str = "behavior_type",
+    item: str = "item_id", category: str = "item_category", behavior: str = "behavior_type", key: str = "user_id",
 ) -> DataFrame:
     """Item, category and behaviour arrays of the last ``n`` events, oldest first."""
-    rows = last_n_events(events, n).groupBy("user_id").agg(
+    rows = last_n_events(events, n, key).groupBy(key).agg(
         F.sort_array(F.collect_list(F.struct((-F.col("position")).alias("p"), F.col(item).alias("i"),
                                              F.col(category).alias("c"), F.col(behavior).alias("b")))).alias("_events"))
     return rows.select(
-        "user_id", F.col("_events.i").alias("item_seq"),
+        key, F.col("_events.i").alias("item_seq"),
         F.col("_events.c").alias("cate_seq"), F.col("_events.b").alias("behavior_seq"))
 
 
