@@ -82,6 +82,27 @@ def test_factors_equal_numpy(spark, skewed):
     assert 0 < found.explained_variance_ratio <= 1
 
 
+def test_products_by_blocks(skewed):
+    """Small blocks, with users and items of more cells than a block."""
+    cells = interaction.interaction_matrix(skewed)
+    known = {(c.user_id, c.item_id): c.weight for c in cells.collect()}
+    vectors = {i: (float(i), 1.0) for _, i in known if i != 7}  # one is missing
+    table = skewed.sparkSession.createDataFrame([(i, *v) for i, v in vectors.items()], "item_id long, a double, b double")
+    for size, whole in ((50, False), (1 << 18, True)):
+        layout = interaction.lay_out(cells, "item_id", "user_id", size)
+        assert layout.whole == whole and (layout.blocks.count() > 10 or whole)
+        got = {r.user_id: (r.a, r.b) for r in interaction.multiply(layout, table, ["a", "b"]).collect()}
+        want = {}
+        for (u, i), w in known.items():
+            v = vectors.get(i, (0.0, 0.0))
+            want[u] = tuple(x + w * y for x, y in zip(want.get(u, (0.0, 0.0)), v))
+        plan = interaction.multiply(layout, table, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+        blocks = plan[plan.index("FlatMapCoGroups"):].split("Scan parquet")
+        assert "Exchange" not in blocks[0] and "layout_blocks" in blocks[1]  # the matrix stays where it is
+        layout.drop()
+        assert got.keys() == want.keys() and all(got[u] == pytest.approx(want[u]) for u in want)
+
+
 def test_z_test(spark):
     groups = spark.createDataFrame([("treatment", 30, 200), ("control", 15, 200)], "group string, conversions long, sample_size long")
     row = experiment.two_proportion_z_test(groups).first()
