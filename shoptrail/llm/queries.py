@@ -116,6 +116,36 @@ def op13_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     return removed.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+# ---- the exact parts of operators whose whole result SQL can't state
+
+
+def shingle_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """The sizes of the sets that ``op2_jaccard`` joins."""
+    documents = table(spark, folder, "documents").select(F.col("doc_id").alias("_key"), F.col("text").alias("_text"), F.lit(0).cast("bigint").alias("_row"))
+    return jaccard.set_table(documents, "bigint").select(F.col("_key").alias("doc_id"), "n_shingles")
+
+
+def url_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Host, path and rule as ``op4_urls`` reads them."""
+    host, path = urls.host_of(F.col("url")), urls.path_of(F.col("url"))
+    named = table(spark, folder, "pages").select("page_id", host.alias("host"), path.alias("path"))
+    return named.withColumn("rule", urls.matched_rule(F.col("host"), F.col("path"), URL_RULES)[0])
+
+
+def edited_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The texts that ``op8_fingerprints`` compares."""
+    made = fingerprints.edited(table(spark, folder, "documents"))
+    return made.select("doc_id", F.length("text").cast("bigint").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"))
+
+
+def mixing_targets(spark: SparkSession, folder: str) -> DataFrame:
+    """Sizes and targets that ``op9_mixing`` meets."""
+    sized = table(spark, folder, "documents").select("doc_id", "source", mixing.words(F.col("text")).alias("size"))
+    goals = mixing.targets(sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs")))
+    goals = goals.select(F.col("source").alias("_source"), "source_size", F.round("target", 3).alias("target"))
+    return sized.join(goals, F.col("source").eqNullSafe(F.col("_source"))).select("doc_id", "size", "source_size", "target")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_jaccard": op2_jaccard,
@@ -130,6 +160,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_conversations": op11_conversations,
     "op12_divergence": op12_divergence,
     "op13_suffixes": op13_suffixes,
+    "shingle_counts": shingle_counts,
+    "url_parts": url_parts,
+    "edited_texts": edited_texts,
+    "mixing_targets": mixing_targets,
 }
 
-ORACLES: dict[str, str] = {"op11_conversations": queries_sql.OP11, "op12_divergence": queries_sql.OP12, "op13_suffixes": queries_sql.OP13}
+ORACLES: dict[str, str] = {
+    "op11_conversations": queries_sql.OP11,
+    "op12_divergence": queries_sql.OP12,
+    "op13_suffixes": queries_sql.OP13,
+    "shingle_counts": queries_sql.SHINGLE_COUNTS,
+    "url_parts": queries_sql.url_parts(URL_RULES),
+    "edited_texts": queries_sql.EDITED_TEXTS,
+    "mixing_targets": queries_sql.MIXING_TARGETS,
+}

@@ -141,3 +141,56 @@ select d.doc_id, (len(d.digits) // 2)::bigint as n_bytes, coalesce(n_removed, 0)
        sha256(unhex(coalesce(l.digits, d.digits))) as kept_sha256
 from docs d left join sums s using (id) left join left_over l using (id)
 """
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+SHINGLE_COUNTS = f"""
+with listed as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORD}') as w from documents
+)
+select doc_id, case when len(w) = 0 then 0 when len(w) < 4 then 1
+  else len(list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))) end::bigint as n_shingles
+from listed
+"""
+
+
+def url_parts(rules) -> str:
+    """Host, path and rule of every url; the longest rule that fits wins."""
+    listed = ", ".join(f"('{text.split('/')[0]}', '/{text.split('/', 1)[1]}', '{text}')" for _, text in rules)
+    return f"""
+with rules(name, start, rule) as (values {listed}),
+parts as (
+  select page_id, coalesce(url, '') as url, contains(coalesce(url, ''), '://') as sound, substr(url, strpos(url, '://') + 3) as rest from pages
+), split as (
+  select page_id, case when sound then translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') else '' end as host,
+         case when sound then regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) else '' end as path
+  from parts
+)
+select page_id, host, path, (
+  select max_by(rule, length(rule)) from rules where (host = name or ends_with(host, '.' || name)) and starts_with(path, start)) as rule
+from split
+"""
+
+
+EDITED_TEXTS = """
+with docs as (select doc_id, coalesce(text, '') as text, length(coalesce(text, '')) as n from documents),
+ordered as (
+  select *, coalesce(lead(text) over (order by doc_id desc nulls last), first_value(text) over (order by doc_id desc nulls last)) as following from docs
+)
+select doc_id, n as n_chars, sha256(left(text, n - n // 2) || left(following, n // 2)) as edited_sha256
+from (select doc_id, n, case when length(following) < n // 2 then left(text, n - n // 2) else text end as text, following from ordered)
+"""
+
+MIXING_TARGETS = f"""
+with sized as (select doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) as size from documents),
+sources as (select source, sum(size)::double as source_size from sized group by source),
+ranked as (
+  select *, 3 * source_size as cap, case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5.0 when 1 then 2.0 else 1.0 end as weight from sources
+), raised as (  -- sources reach their caps in the order of cap / weight
+  select *, (sum(source_size) over () - coalesce(sum(cap) over (o rows between unbounded preceding and 1 preceding), 0))
+            / sum(weight) over (o rows between current row and unbounded following) as level
+  from ranked window o as (order by cap / weight, source)
+), chosen as (select first(level order by cap / weight, source) as level from raised where level <= cap / weight)
+select d.doc_id, d.size, r.source_size::bigint as source_size, round(least(r.cap, r.weight * c.level), 3) as target
+from sized d join ranked r on r.source is not distinct from d.source, chosen c
+"""
