@@ -903,6 +903,20 @@ def smote_oversample(spark, folder):
     return dataset.smote_oversample(labelled_users(spark, folder), FUNNEL_COLUMNS)
 
 
+@query
+def smote_balance(spark, folder):
+    """Rows of each label after oversampling."""
+    return dataset.smote_oversample(labelled_users(spark, folder), FUNNEL_COLUMNS).groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query
+def smote_kept_rows(spark, folder):
+    """The rows of the input, all of which oversampling has to keep."""
+    rows = labelled_users(spark, folder)
+    given = rows.select(*[F.col(c).cast("double").alias(c) for c in FUNNEL_COLUMNS], "label")
+    return dataset.smote_oversample(rows, FUNNEL_COLUMNS).intersectAll(given)
+
+
 @query
 def class_weights(spark, folder):
     return dataset.class_weights(labelled_users(spark, folder))

@@ -641,6 +641,10 @@ ORACLES: dict[str, str] = {
         select user_id, least(len(l), 20)::int as days_length,
                array_to_string(list_concat(list_transform(range(greatest(20 - len(l), 0)), lambda x: 0), l[greatest(len(l) - 19, 1):len(l)]), ',') as days from s"""),
     "stratified_split": _sql(_split(), "select user_id, label, split from split"),
+    "smote_balance": _sql(LABELLED, """
+        select label, (select max(n) from (select count(*) as n from labelled group by label)) as n from labelled group by label"""),
+    "smote_kept_rows": _sql(LABELLED, "select " + ", ".join(f"{c}::double as {c}" for c in ("pv_count", "fav_count", "cart_count", "buy_count")) + ", "
+                            + ", ".join(RATES) + ", label from labelled", *RATES),
     "class_weights": _sql(LABELLED, """
         select label as class, (select count(*) from labelled) / (count(*) * 2) as class_weight from labelled group by 1""", "class_weight"),
     "scale_pos_weight": _sql(LABELLED, "select count(*) filter (label = 0) / count(*) filter (label = 1) as scale_pos_weight from labelled", "scale_pos_weight"),
