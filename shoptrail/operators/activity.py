@@ -30,13 +30,19 @@ def daily_active_users(fact: DataFrame) -> DataFrame:
 
 
 def weekly_active_users(fact: DataFrame) -> DataFrame:
-    return fact.groupBy(week_label_yw(F.col("time")).alias("week")).agg(
-        F.count_distinct("user_id").alias("weekly_active_users")).orderBy("week")
+    return _weekly(fact, ["_monday", "_year"], week_label_yw)
 
 
 def weekly_active_users_period(events: DataFrame) -> DataFrame:
-    return events.groupBy(week_label_period(F.col("time")).alias("week")).agg(
-        F.count_distinct("user_id").alias("weekly_active_users")).orderBy("week")
+    return _weekly(events, ["_monday"], week_label_period)
+
+
+def _weekly(events: DataFrame, week: list[str], label) -> DataFrame:
+    """Users of each week. Weeks are dates until they are counted, so labels are made once a week and not once an event."""
+    day = F.to_date("time")
+    placed = events.select("user_id", day.alias("_day"), F.date_sub(day, F.weekday(day)).alias("_monday"), F.year(day).alias("_year"))
+    users = placed.groupBy(*week).agg(F.count_distinct("user_id").alias("weekly_active_users"), F.min("_day").alias("_day"))
+    return users.select(label(F.col("_day")).alias("week"), "weekly_active_users").orderBy("week")
 
 
 def hot_items(fact: DataFrame, n: int = 10) -> DataFrame:

@@ -941,7 +941,7 @@ def feature_importance_rf(spark, folder):
 @query
 def select_top_features(spark, folder):
     rows, columns = model_rows(spark, folder)
-    return dataset.select_top_features(rows, dataset.feature_importance_rf(rows, columns))
+    return dataset.select_top_features(rows, dataset.feature_importance_rf(rows, columns), 12)  # of 27
 
 
 @query
@@ -1036,7 +1036,7 @@ def model_comparison(spark, folder):
 
 @query
 def stack_models(spark, folder):
-    stack = stacking.stack_models(pair_predictions(spark, folder).drop("stacking_prob"), ["user_id", "item_id"])
+    stack = stacking.stack_models(materialize(pair_predictions(spark, folder).drop("stacking_prob")), ["user_id", "item_id"])
     return stack.test.select("user_id", "item_id", "label", "stacking_prob", "stacking_prediction")
 
 
@@ -1084,7 +1084,7 @@ def logistic_coefficients(spark, folder):
 
 @query
 def stacking_weights(spark, folder):
-    stack = stacking.stack_models(pair_predictions(spark, folder).drop("stacking_prob"), ["user_id", "item_id"])
+    stack = stacking.stack_models(materialize(pair_predictions(spark, folder).drop("stacking_prob")), ["user_id", "item_id"])
     return explain.stacking_weights(stack.model, spark)
 
 
@@ -1132,7 +1132,7 @@ def long_tail_flag(spark, folder):
 
 @query
 def scenario_metrics(spark, folder):
-    rows = predictions(spark, folder).select("user_id", "item_id", "label", "stacking_prob")
+    rows = materialize(predictions(spark, folder).select("user_id", "item_id", "label", "stacking_prob"))
     return explain.scenario_metrics(explain.long_tail_flag(explain.cold_start_flag(rows, threshold=30)))
 
 

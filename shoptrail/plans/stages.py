@@ -153,14 +153,16 @@ def run_build_model_dataset(
     return result
 
 
-def run_feature_pipeline(events: DataFrame, label_days: int = 7, as_of=None, with_svd: bool = True, **options) -> dict:
+def run_feature_pipeline(events: DataFrame, label_days: int = 7, as_of=True, with_svd: bool = True, **options) -> dict:
     """All user features and the model dataset.
 
-    ``as_of`` (a date column) limits feature events to that day and before, which keeps the
-    label window out of the features; without it features see all events.
+    Features see events up to ``as_of``: by default the day before the label window, else a date column; None takes all events,
+    and then the label window leaks into the features.
     """
-    from ..functions.columns import events_up_to
+    from ..functions.columns import events_up_to, last_day
 
+    if as_of is True:
+        as_of = F.date_sub(last_day(events), label_days)
     seen = events if as_of is None else events_up_to(events, as_of)
     tables = {
         "time_features": run_time_features(seen), "user_lifecycle_features": run_user_lifecycle_features(seen),
