@@ -105,19 +105,22 @@ def column_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return exact_quantiles(long.filter(~F.isnan("value")), "value", {"median": 0.5}, ["feature"])
 
 
-def percent_rank_avg(df: DataFrame, columns: dict[str, str], key: str) -> DataFrame:
+def percent_rank_avg(df: DataFrame, columns: dict[str, str], key: str, hot_rows: int | None = None) -> DataFrame:
     """Adds average-rank percentiles: ``columns`` maps value column to output column.
 
-    All columns go through one long table, so there is one range shuffle.
+    All columns go through one long table, so there is one range shuffle. Ranks come back by (column, value); a value that many rows
+    share (``hot_rows``, a million by default) is not a key of that join: its rows stay where they are and its rank is broadcast.
     """
+    from ..operators.joins import HOT_ROWS, heavy_of, hot_key_join
+
     values = list(columns)
     long = df.select(key, *[F.col(c).cast("double").alias(c) for c in values]).unpivot(key, values, "_measure", "_value")
     counts = value_counts(long, "_value", ["_measure"])
-    ranks = counts.select(
-        "_measure", "_value",
-        ((F.col("n_before") + (F.col("n") + 1) / 2) / F.col("n_total")).alias("_pct"),
-    )
-    back = long.join(ranks, ["_measure", "_value"], "left").groupBy(key).pivot("_measure", values).agg(F.max("_pct"))
+    place = F.struct("_measure", "_value").alias("_place")
+    ranks = counts.select(place, ((F.col("n_before") + (F.col("n") + 1) / 2) / F.col("n_total")).alias("_pct"))
+    hot = materialize(heavy_of(counts.select(place, F.col("n").alias("_n")), "_place", HOT_ROWS if hot_rows is None else hot_rows))
+    placed = hot_key_join(long.select(key, "_measure", place), ranks, "_place", hot=hot)
+    back = placed.groupBy(key).pivot("_measure", values).agg(F.max("_pct"))
     back = back.select(F.col(key).alias("_key"), *[F.col(c).alias(columns[c]) for c in values])
     return df.join(back, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
 

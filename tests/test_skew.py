@@ -128,3 +128,18 @@ def test_smote_balances(spark):
     assert counts == {0: 80, 1: 80}
     again = smote_oversample(df.repartition(7), ["a", "b"])
     assert out.exceptAll(again).count() == 0
+
+
+def test_percentiles_of_a_value_that_most_rows_share(spark):
+    from shoptrail.functions.ordering import percent_rank_avg
+
+    rows = [(i, 1.0 if i % 10 else float(i), None if i % 7 == 0 else -0.0 if i % 2 else 0.0) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, a double, b double").repartition(4)
+    plain = {tuple(r) for r in percent_rank_avg(df, {"a": "pa", "b": "pb"}, "k").collect()}
+    made = percent_rank_avg(df, {"a": "pa", "b": "pb"}, "k", hot_rows=50)
+    assert {tuple(r) for r in made.collect()} == plain
+    assert "BroadcastHashJoin" in made._jdf.queryExecution().executedPlan().toString()
+    values = sorted(r[1] for r in rows)
+    for k, a, b, pa, pb in plain:
+        ranks = [i + 1 for i, v in enumerate(values) if v == a]
+        assert abs(pa - sum(ranks) / len(ranks) / 400) < 1e-12 and (pb is None) == (b is None)
