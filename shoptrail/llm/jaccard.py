@@ -19,8 +19,10 @@ other signature joins two classes of such groups, so these classes alone are ind
 more than ``GROUP`` of them have are left out of the universe, which only lowers the number of differences, and no signature is
 crowded any more. Classes with too few shingles left to tell H + 1 differences are also indexed under each of these: two of them that have
 more than H between them and are linked must share one. Those with fewer are, among each other, indexed a third time, under few
-large segments and all their one-deletion neighbours; what is still together there and may be linked by these counts proposes
-its pairs. No link is lost at any step.
+large segments and all their one-deletion neighbours. Near copies of one text that are not linked meet there under many signatures.
+The one with the fewest rare shingles is next to that text and proposes first, so that those linked with it merge. A pair that is
+left is proposed only if it can be linked: two sets that share no rare shingle (those that do have been tried) differ in all of them
+and in as many others as one has more, and in as many places as their sketches. No link is lost at any step.
 
 A proposal is checked first on parity sketches: linked sets differ in at most H places, so the exclusive or of their bitmaps has
 at most H bits. What is left is verified on the sets.
@@ -32,12 +34,12 @@ component.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
 from math import exp, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -49,6 +51,7 @@ THRESHOLD = 85
 BROADCAST_IDS = 2_000_000
 GROUP = 32  # classes under one signature whose pairs are proposed at once
 SKETCH_BITS = 1024
+ROW_SKETCH = 8  # 64-bit numbers of the smaller sketch that rows of the last index carry
 PLAIN, WIDE, RARE = 0, 1, 2  # levels of the index
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63,
                                0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53, 0x2545F4914F6CDD1D)]
@@ -145,8 +148,14 @@ def signatures(found: np.ndarray, owner: np.ndarray, rows: int, threshold: int =
 
     ``found`` is what ``shingles`` gives; at level ``RARE`` it holds only a part of each set, whose whole ``size`` is given.
     """
+    return _with_wholes(found, owner, rows, threshold, level, size)[:3]
+
+
+def _with_wholes(found: np.ndarray, owner: np.ndarray, rows: int, threshold: int, level: int,
+                 size: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``signatures``, and of each signature the one of its whole segment: its own, unless a shingle is left out."""
     size = np.bincount(owner, minlength=rows) if size is None else size
-    nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    nothing = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     if not len(size) or not size.max():
         return nothing
     edges = np.array(band_edges(int(size.max())))
@@ -163,7 +172,8 @@ def signatures(found: np.ndarray, owner: np.ndarray, rows: int, threshold: int =
             parts.append(_emit(found, owner, chosen, bands, need, edges, threshold, level))
     if not parts:
         return nothing
-    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.unique(np.concatenate([p[2] for p in parts]))
+    found, row, short, whole = (np.concatenate([p[k] for p in parts]) for k in range(4))
+    return found, row, np.unique(short), whole
 
 
 def _plan(low: int, high: int, threshold: int, level: int) -> tuple[int, int]:
@@ -173,14 +183,14 @@ def _plan(low: int, high: int, threshold: int, level: int) -> tuple[int, int]:
 
 
 def _emit(found: np.ndarray, owner: np.ndarray, chosen: np.ndarray, bands: np.ndarray, need: np.ndarray, edges: np.ndarray,
-          threshold: int, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+          threshold: int, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     plans = np.zeros((len(edges), 2), np.int64)
     for b in np.unique(bands[chosen]):
         plans[b] = _plan(int(edges[b]), int(edges[b + 1]) - 1, threshold, level)
     kept = chosen[owner]
     found, owner = found[kept], owner[kept]
     segments, double = plans[np.maximum(bands, 0), 0], plans[np.maximum(bands, 0), 1]
-    out, rows, row, place, tells = [], [], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    out, rows, wholes, row, place, tells = [], [], [], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     salt = mix(bands.astype(np.uint64) * _ODD[2] + np.uint64(1 + level))
     if len(found):
         segment = ((found >> np.uint64(32)) * segments[owner].astype(np.uint64) >> np.uint64(32)).astype(np.int64)  # rises with the hash
@@ -196,21 +206,25 @@ def _emit(found: np.ndarray, owner: np.ndarray, chosen: np.ndarray, bands: np.nd
         start = np.maximum.accumulate(np.where(first, np.arange(len(row)), 0))
         used = before - before[start] < need[row]
         names = salt[row] + place.astype(np.uint64) * _ODD[3]
-        out.append(mix(total[used] + mix(names[used])))
+        whole = mix(total + mix(names))
+        out.append(whole[used])
         rows.append(row[used])
+        wholes.append(whole[used])
         leave = np.repeat(used & twice, held)
         if leave.any():
             at = np.repeat(np.arange(len(head)), held)[leave]
             out.append(mix(total[at] - mixed[leave] + mix(names[at])))
             rows.append(row[at])
+            wholes.append(whole[at])
     short = np.flatnonzero(chosen & (np.bincount(row, weights=tells, minlength=len(chosen)) < need))
     if level != RARE:
         for r in short:  # too uneven: empty segments too, under names of their own
             empty = np.setdiff1d(np.arange(segments[r]), place[row == r])
             out.append(mix(mix(salt[r] + empty.astype(np.uint64) * _ODD[3]) ^ _ODD[4]))
             rows.append(np.full(len(empty), r))
+            wholes.append(out[-1])
     none = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-    return np.concatenate(out or none[0]), np.concatenate(rows or none[1]), short
+    return np.concatenate(out or none[0]), np.concatenate(rows or none[1]), short, np.concatenate(wholes or none[0])
 
 
 def _class_of(found: np.ndarray, owner: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
@@ -251,14 +265,17 @@ def set_table(docs: DataFrame, key_type: str, n: int = SHINGLE) -> DataFrame:
 
 
 def signature_table(docs: DataFrame, threshold: int, level: int = PLAIN, n: int = SHINGLE) -> DataFrame:
-    """(signature, class) of the sets of ``docs``."""
+    """(signature, class) of the sets of ``docs``; at level ``WIDE`` also the signature ``whole`` of the whole segment."""
 
     def make(found, owner, rows):
         names = _class_of(found, owner, rows)[1]
-        signature, row, _ = signatures(found, owner, rows, threshold, level)
-        return np.zeros(0, np.int64), {"signature": pa.array(signature.view(np.int64)), "class": pa.array(names[row].view(np.int64))}
+        signature, row, _, whole = _with_wholes(found, owner, rows, threshold, level)
+        columns = {"signature": pa.array(signature.view(np.int64)), "class": pa.array(names[row].view(np.int64))}
+        if level == WIDE:
+            columns["whole"] = pa.array(whole.view(np.int64))
+        return np.zeros(0, np.int64), columns
 
-    return _from_text(docs, make, [], "signature long, class long", n)
+    return _from_text(docs, make, [], "signature long, class long" + (", whole long" if level == WIDE else ""), n)
 
 
 def parity_sketches(found: np.ndarray, owner: np.ndarray, rows: int) -> np.ndarray:
@@ -273,6 +290,16 @@ def parity_sketches(found: np.ndarray, owner: np.ndarray, rows: int) -> np.ndarr
     return made
 
 
+def _sketched(found, owner, count, longs=SKETCH_BITS // 64):
+    made = np.bitwise_xor.reduce(parity_sketches(found, owner, count).reshape(count, -1, longs), axis=1)  # parities of fewer, larger places
+    return None, {"sketch": pa.FixedSizeListArray.from_arrays(pa.array(made.ravel()), longs).cast(pa.list_(pa.int64()))}
+
+
+def _bits(x: str, y: str) -> Column:
+    """The places where two sketches differ."""
+    return F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, n: total + n)
+
+
 def _listed(found, owner, count):
     offsets = pa.array(np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=count))]).astype(np.int32))
     return None, {"shingles": pa.ListArray.from_arrays(offsets, pa.array(found.view(np.int64)))}
@@ -339,17 +366,11 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, classes: DataFr
     near = materialize(sized.filter(100 * F.least("x", "y") >= threshold * F.greatest("x", "y")).select(
         "a", "b", F.floor((100 - threshold) * (F.col("x") + F.col("y")) / (100 + threshold)).alias("most")))
 
-    def sketch(found, owner, count):
-        flat = parity_sketches(found, owner, count)
-        lists = pa.FixedSizeListArray.from_arrays(pa.array(flat.ravel()), flat.shape[1]).cast(pa.list_(pa.int64()))
-        return None, {"sketch": lists}
-
     def of(left: DataFrame, make, column: str) -> DataFrame:
         made = _from_text(_of_classes(docs, sets, _ends(left)), make, ["class"], f"class long, {column} array<long>", n)
         return made.groupBy("class").agg(F.first(column).alias(column))
 
-    bits = F.aggregate(F.zip_with("x", "y", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, n: s + n)
-    likely = materialize(_both(near, of(near, sketch, "sketch"), "sketch").filter(bits <= F.col("most")).select("a", "b"))
+    likely = materialize(_both(near, of(near, _sketched, "sketch"), "sketch").filter(_bits("x", "y") <= F.col("most")).select("a", "b"))
     both = F.size(F.array_intersect("x", "y"))
     exact = _both(likely, of(likely, _listed, "shingles"), "shingles")
     return materialize(exact.filter(100 * both >= threshold * (F.size("x") + F.size("y") - both)).select("a", "b"))
@@ -358,38 +379,50 @@ def verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, classes: DataFr
 def pairs_left(open_: DataFrame, counts: DataFrame | None = None, threshold: int = THRESHOLD) -> DataFrame:
     """Pairs of classes under one signature that are in different components; ``open_`` has (signature, class, component).
 
-    ``counts`` (class, n_shingles, rare) leaves out pairs with more rare shingles than linked sets may differ in.
+    ``counts`` (class, n_shingles, rare, sketch) leaves out pairs that differ too much: by all their rare shingles, as pairs with a
+    rare one in common have been tried, and by as many others as one has more than the other; or by their sketches. Sets that agree on
+    a segment also agree on each of its subsets with one left out, so such a pair is proposed by the ``whole`` segment alone.
     """
-    def side(name: str, component: str, n: str, rare: str) -> DataFrame:
+    def side(end: str) -> DataFrame:
         kept = open_ if counts is None else open_.join(counts, "class")
-        more = [F.col("n_shingles").alias(n), F.col("rare").alias(rare)] if counts is not None else []
-        return kept.select("signature", F.col("class").alias(name), F.col("component").alias(component), *more)
+        more = [F.col(c).alias(c[0] + end) for c in ("n_shingles", "rare", "sketch", "whole")] if counts is not None else []
+        return kept.select("signature", F.col("class").alias(end), F.col("component").alias("c" + end), *more)
 
     fits = (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
     if counts is not None:
-        fits = fits & ((F.col("ra") + F.col("rb")) * (100 + threshold) <= (100 - threshold) * (F.col("na") + F.col("nb")))
+        differ = F.col("ra") + F.col("rb") + F.abs((F.col("na") - F.col("ra")) - (F.col("nb") - F.col("rb")))
+        most = (100 - threshold) * (F.col("na") + F.col("nb"))
+        fits = fits & (differ * (100 + threshold) <= most)
         fits = fits & (100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
-    return side("a", "ca", "na", "ra").join(side("b", "cb", "nb", "rb"), "signature").filter(fits).select("a", "b").distinct()
+        fits = fits & ((F.col("wa") != F.col("wb")) | (F.col("signature") == F.col("wa")))
+        fits = fits & (_bits("sa", "sb") * (100 + threshold) <= most)
+    return side("a").join(side("b"), "signature").filter(fits).select("a", "b").distinct()
 
 
 def _open(shared: DataFrame, links: DataFrame) -> DataFrame:
     """(signature, class, component, n) of the signatures whose classes are in several components; n counts them."""
     named = components(links)
     placed = shared.join(named, F.col("class") == F.col("node"), "left").select(
-        "signature", "class", F.coalesce("component", "class").alias("component"))
+        "signature", "class", F.coalesce("component", "class").alias("component"), *[c for c in shared.columns if c == "whole"])
     several = placed.groupBy("signature").agg(
         F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("signature", "n")
     return materialize(placed.join(several, "signature"))
 
 
 def _shared(found: DataFrame) -> DataFrame:
-    """(signature, class, lo) of the signatures that several classes have; lo is the smallest."""
-    common = found.groupBy("signature").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).filter("lo <> hi").select("signature", "lo")
-    return materialize(found.join(common, "signature").distinct())
+    """(signature, class, lo) of the signatures that several classes have; lo is the smallest, or the one with the fewest ``rare`` shingles.
+
+    The latter is next to what near copies were made from, so most of them link with it.
+    """
+    ends = [F.min("class").alias("least"), F.max("class").alias("most")]
+    fewest = [F.min(F.struct("rare", "class"))["class"].alias("lo")] if "rare" in found.columns else []
+    common = found.groupBy("signature").agg(*ends, *fewest).filter("least <> most")
+    common = common.select("signature", *(["lo"] if fewest else [F.col("least").alias("lo")]))
+    return materialize(found.join(common, "signature").drop("rare").distinct())
 
 
 def _stars(shared: DataFrame) -> DataFrame:
-    return shared.filter("class <> lo").select(F.col("lo").alias("a"), F.col("class").alias("b")).distinct()
+    return shared.filter("class <> lo").select(F.least("lo", "class").alias("a"), F.greatest("lo", "class").alias("b")).distinct()
 
 
 def all_links(base: DataFrame, sets: DataFrame, classes: DataFrame, threshold: int, n: int = SHINGLE) -> DataFrame:
@@ -403,7 +436,7 @@ def all_links(base: DataFrame, sets: DataFrame, classes: DataFrame, threshold: i
         tried, links = (stars, fresh) if tried is None else (tried.union(stars), links.union(fresh))
         open_ = _open(shared, links)
         few = open_.filter(F.col("n") <= GROUP) if level == PLAIN else open_
-        counts = next_.join(classes.select("class", "n_shingles"), "class") if level == WIDE else None
+        counts = next_.join(classes.select("class", "n_shingles"), "class").join(sketches, "class") if level == WIDE else None
         rest = materialize(pairs_left(few, counts, threshold).join(tried, ["a", "b"], "left_anti"))
         links = links.union(verified(rest, base, sets, classes, threshold, n))
         tried = tried.union(rest)
@@ -418,7 +451,9 @@ def all_links(base: DataFrame, sets: DataFrame, classes: DataFrame, threshold: i
             marked = materialize(rare_signatures(docs, classes, threshold, n))
             found = marked.filter("signature is not null").select("signature", "class")
         else:
-            found = signature_table(docs.join(next_, "class", "left_semi"), threshold, WIDE, n)
+            docs = docs.join(next_, "class", "left_semi")
+            found = signature_table(docs, threshold, WIDE, n).join(next_, "class")
+            sketches = _from_text(docs, partial(_sketched, longs=ROW_SKETCH), ["class"], "class long, sketch array<long>", n)
     return materialize(links)
 
 
