@@ -311,8 +311,8 @@ def rare_signatures(docs: DataFrame, classes: DataFrame, threshold: int, n: int
     A class with too few of these has a signature for each, and a row without signature that holds their number.
     """
     held = _from_text(docs, _listed, ["class"], "class long, shingles array<long>", n).select("class", F.explode("shingles").alias("shingle"))
-    rare = held.groupBy("shingle").agg(F.count("*").alias("n")).filter(F.col("n") <= GROUP).select("shingle")
-    left = held.join(rare, "shingle").groupBy("class").agg(F.collect_list("shingle").alias("shingles"))
+    rare = held.withColumn("n", F.count("*").over(Window.partitionBy("shingle"))).filter(F.col("n") <= GROUP)  # moved once
+    left = rare.groupBy("class").agg(F.collect_list("shingle").alias("shingles"))
     whole = docs.select("class").join(classes.select("class", "n_shingles"), "class").join(left, "class", "left")
     whole = whole.select("class", "n_shingles", F.coalesce("shingles", F.array().cast("array<long>")).alias("shingles"))
 
@@ -414,11 +414,11 @@ def _shared(found: DataFrame) -> DataFrame:
 
     The latter is next to what near copies were made from, so most of them link with it.
     """
-    ends = [F.min("class").alias("least"), F.max("class").alias("most")]
-    fewest = [F.min(F.struct("rare", "class"))["class"].alias("lo")] if "rare" in found.columns else []
-    common = found.groupBy("signature").agg(*ends, *fewest).filter("least <> most")
-    common = common.select("signature", *(["lo"] if fewest else [F.col("least").alias("lo")]))
-    return materialize(found.join(common, "signature").drop("rare").distinct())
+    one = Window.partitionBy("signature")  # the rows are by far the most that the search moves, so they move once
+    placed = found.withColumn("least", F.min("class").over(one)).withColumn("most", F.max("class").over(one))
+    lo = F.min(F.struct("rare", "class")).over(one)["class"] if "rare" in found.columns else F.col("least")
+    common = placed.withColumn("lo", lo).filter("least <> most")
+    return materialize(common.drop("rare", "least", "most").distinct())
 
 
 def _stars(shared: DataFrame) -> DataFrame:

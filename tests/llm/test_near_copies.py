@@ -59,3 +59,20 @@ def test_smaller_sketches_bound_the_difference_too():
         _, made = jaccard._sketched(np.concatenate([a, b]), np.repeat([0, 1], [len(a), len(b)]), 2, jaccard.ROW_SKETCH)
         x, y = (np.array(v, np.int64).view(np.uint64) for v in made["sketch"].to_pylist())
         assert len(x) == jaccard.ROW_SKETCH and sum(int(v).bit_count() for v in x ^ y) <= len(np.setxor1d(a, b))
+
+
+def test_signatures_and_shingles_move_once(spark):
+    """They are most of what the search moves: one exchange by signature, and one by shingle."""
+    texts = near_copies()
+    docs = spark.createDataFrame(list(texts.items()), "class long, _text string")
+    classes = spark.createDataFrame([(i, 1) for i in texts], "class long, n_shingles long")
+    rare = jaccard.rare_signatures(docs, classes, 85)._jdf.queryExecution().executedPlan().toString()
+    assert rare.count("hashpartitioning(shingle") == 1
+
+    seen = []
+    plain, jaccard.materialize = jaccard.materialize, lambda df: seen.append(df) or df
+    try:
+        jaccard._shared(jaccard.signature_table(docs, 85))
+    finally:
+        jaccard.materialize = plain
+    assert seen[0]._jdf.queryExecution().executedPlan().toString().count("hashpartitioning(signature#") == 1
