@@ -156,3 +156,60 @@ def test_one_class_is_refused(table):
         classifiers.train_gbt_depthwise(table.filter("label = 1"), FEATURES)
     with pytest.raises(ValueError):
         classifiers.train_gbt_leaf_limited(table.limit(0), FEATURES, scale_pos_weight=1.0)
+
+
+def test_rows_are_routed_as_one_by_one():
+    rng = np.random.default_rng(3)
+    tree, open_ = boosting.Tree(), [0]
+    tree.add(0.0)
+    while len(tree.feature) < 41:
+        node = open_.pop(int(rng.integers(len(open_))))
+        tree.feature[node], tree.cut[node], tree.missing_left[node] = int(rng.integers(3)), int(rng.integers(1, 9)), bool(rng.integers(2))
+        tree.left[node], tree.right[node] = tree.add(float(rng.normal())), tree.add(float(rng.normal()))
+        open_ += [tree.left[node], tree.right[node]]
+    bins = rng.integers(0, 9, (3, 500)).astype(np.uint8)
+
+    def leaf(row):
+        node = 0
+        while tree.feature[node] >= 0:
+            value = bins[tree.feature[node], row]
+            left = tree.missing_left[node] if value == 0 else value <= tree.cut[node]
+            node = tree.left[node] if left else tree.right[node]
+        return node
+
+    some = np.array([0, 7, 7, 499])
+    assert tree.route(bins).tolist() == [leaf(r) for r in range(500)]
+    assert tree.route(bins, some).tolist() == [leaf(r) for r in some]
+    assert tree.apply(bins, some[:0]).tolist() == []
+
+
+def test_passes_move_rows_only_through_the_trees_they_need(table, monkeypatch):
+    """Trees that are not folded yet are applied to the rows of the asked nodes, not to all rows."""
+    routed, plain = [], boosting.Tree.apply
+
+    def counted(tree, bins, rows=None):
+        routed.append((bins.shape[1], bins.shape[1] if rows is None else len(rows)))
+        return plain(tree, bins, rows)
+
+    booster = boosting.Booster(table, FEATURES, "label", [Settings(n_estimators=3, max_depth=4, subsample=0.5)])
+    booster.grow({0: 2})
+    block = booster.state.first()
+    monkeypatch.setattr(boosting.Tree, "apply", counted)
+    grower = boosting.Grower(booster.settings[0], np.arange(len(FEATURES)))
+    sums = booster._sums({0: (grower, grower.wanted())})
+    list(sums(iter([block])))
+    booster.close()
+    assert routed and all(0 < used < 0.8 * all_ for all_, used in routed)
+
+
+def test_models_that_were_not_kept_leave_the_blocks(table):
+    booster = boosting.Booster(table, FEATURES, "label", [Settings(max_depth=2), Settings(max_depth=3)])
+    booster.grow({0: 1, 1: 1})
+    booster.keep([1])
+    booster.grow({1: boosting.FOLD + 1})
+    assert all(set(block[3]) == {1} for block in booster.state.collect())
+    alone = boosting.fit(table, FEATURES, "label", Settings(n_estimators=boosting.FOLD + 1, max_depth=3))
+    assert booster.model(1).trees == alone.trees
+    with pytest.raises(ValueError):
+        booster.grow({0: 2})
+    booster.close()
