@@ -213,3 +213,31 @@ def test_models_that_were_not_kept_leave_the_blocks(table):
     with pytest.raises(ValueError):
         booster.grow({0: 2})
     booster.close()
+
+
+def test_sums_on_the_driver_are_bounded(table, monkeypatch):
+    """The same trees where a pass brings the sums of one node and no grower keeps any."""
+    settings = [Settings(n_estimators=2, max_depth=5), Settings(n_estimators=2, num_leaves=9, min_child_samples=3, colsample=0.6)]
+    want = [boosting.fit(table, FEATURES, "label", s).trees for s in settings]
+    passes, plain, held = [], boosting.Booster._pass, []
+
+    def counted(booster, work):
+        passes.append(sum(booster._bytes(*w) for w in work.values()))
+        held.append(sum(values.nbytes for grower, _ in work.values() for values in grower.sums.values()))
+        return plain(booster, work)
+
+    monkeypatch.setattr(boosting, "PASS_BYTES", 1000)
+    monkeypatch.setattr(boosting, "HELD_BYTES", 15_000)
+    monkeypatch.setattr(boosting.Booster, "_pass", counted)
+    booster = boosting.Booster(table, FEATURES, "label", settings)
+    booster.grow({0: 2, 1: 2})
+    booster.close()
+    assert [booster.model(i).trees for i in range(2)] == want
+    assert max(passes) <= len(FEATURES) * 3 * boosting.BINS * 8 and 0 < max(held) <= 15_000
+
+
+def test_a_split_keeps_six_numbers_and_not_the_sums():
+    sums = np.random.default_rng(4).integers(1, 1 << 22, (3, 5, boosting.BINS))
+    sums[0] -= 1 << 21
+    split = boosting.best_split(sums, Settings(reg_lambda=1.0))
+    assert split.left.base is None and split.right.base is None
