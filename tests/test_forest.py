@@ -100,3 +100,11 @@ def test_unknown_values_are_refused(spark):
     for bad in ([], [(1.0, None, 1)], [(float("nan"), 1.0, 0)], [(1.0, 2.0, None)], [(1.0, 2.0, 3)]):
         with pytest.raises(ValueError):
             dataset.feature_importance_rf(spark.createDataFrame(bad, schema), ["a", "b"], trees=2)
+
+
+def test_top_features_are_those_of_the_forest(table):
+    want = sorted(zip(forest.importances(table, FEATURES, "label", 8, 30, 42), FEATURES), key=lambda r: (-r[0], r[1]))
+    importance = dataset.feature_importance_rf(table, FEATURES, trees=8)
+    assert [r["feature"] for r in importance.collect()] == [f for _, f in want]
+    kept = dataset.select_top_features(table, importance, 2)
+    assert kept.columns == ["user_id", "label", *[f for _, f in want[:2]]] and kept.count() == table.count()
