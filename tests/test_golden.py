@@ -100,3 +100,10 @@ def test_item_with_two_categories(spark):
     assert {(r.item_category, r.behavior_count) for r in counts} == {(1, 2), (2, 2)}
     assert marts.item_table(events).first().item_category == 2  # the earliest
     assert {r.item_category: r.conversion_rate for r in marts.category_table(events).collect()} == {2: 0.0, 1: None}
+
+
+def test_scores_aggregate_the_events_once(micro):
+    """Ranks, last day and scores read the written measures, and what is returned does not read the events at all."""
+    found = business.rfm_features(micro)
+    text = found._jdf.queryExecution().analyzed().toString()
+    assert "behavior_type" not in text
