@@ -51,10 +51,14 @@ def drawn(ids: np.ndarray, tree: int, seed: int) -> np.ndarray:
 
 
 def tried(nodes: np.ndarray, tree: int, seed: int, features: int, count: int) -> np.ndarray:
-    """The features that each node tries, by its number in the tree, in a drawn order: the first of equally good ones is taken."""
+    """The features that each node tries, by its number in the tree: a reservoir, in whose order the first of equally good ones is taken."""
     salt = _mixed(np.array([seed * 1_000_003 + tree + 1], np.uint64) ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-    ranks = _mixed(_mixed(nodes.astype(np.uint64) ^ salt)[:, None] + np.arange(1, features + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-    return np.argsort(ranks, axis=1, kind="stable")[:, :count]
+    keys, chosen = _mixed(nodes.astype(np.uint64) ^ salt), np.tile(np.arange(count), (len(nodes), 1))
+    for f in range(count, features):
+        place = (_mixed(keys + np.uint64((f + 1) * 0x9E3779B97F4A7C15 % 2**64)) >> np.uint64(11)).astype(np.int64) % (f + 1)
+        taken = np.flatnonzero(place < count)
+        chosen[taken, place[taken]] = f
+    return chosen
 
 
 def _gini(zero: np.ndarray, one: np.ndarray) -> np.ndarray:
